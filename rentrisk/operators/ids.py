@@ -68,19 +68,20 @@ def dense_random_id(df: DataFrame, seed, key_cols: list[str] | None = None, id_c
                    F.lit(0)).alias("_off"))
     w = Window.partitionBy("_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     ranked = g.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    ranked = ranked.join(F.broadcast(offsets), "_b").withColumn("_start", F.col("_off") + F.col("_before"))
+    # Left join: an inner join would push an extra null filter into one branch only,
+    # and the two branches below could no longer share the shuffle output.
+    ranked = (ranked.join(F.broadcast(offsets), "_b", "left")
+              .withColumn("_start", F.coalesce("_off", F.lit(0)) + F.col("_before")))
 
     if distinct_keys:
         return ranked.select(*cols, (F.col("_start") + 1).alias(id_col))
 
-    single = ranked.where(F.col("_c") == 1).select(*cols, (F.col("_start") + 1).alias(id_col))
-    many = ranked.where(F.col("_c") > 1)
-    small = (many.where(F.col("_c") <= chunk)
-             .select(*cols, F.explode(F.sequence(F.col("_start") + 1, F.col("_start") + F.col("_c"))).alias(id_col)))
-    hot = (many.where(F.col("_c") > chunk)
+    normal = (ranked.where(F.col("_c") <= chunk)
+              .select(*cols, F.explode(F.sequence(F.col("_start") + 1, F.col("_start") + F.col("_c"))).alias(id_col)))
+    hot = (ranked.where(F.col("_c") > chunk)
            .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_c") - 1) / chunk))))
            .repartition("_h", "_k")
            .select(*cols, F.explode(F.sequence(
                F.col("_start") + F.col("_k") * chunk + 1,
                F.col("_start") + F.least((F.col("_k") + 1) * chunk, F.col("_c")))).alias(id_col)))
-    return single.unionByName(small).unionByName(hot)
+    return normal.unionByName(hot)

@@ -98,3 +98,172 @@ def q_dense_random_id(spark, sf_dir):
     # duplicate-collapsing path; identical rows are interchangeable.
     li = spark.read.parquet(table_path(sf_dir, "lineitem")).select("l_orderkey", "l_linenumber")
     return dense_random_id(li, SEED)
+
+
+# ---------------------------------------------------------------- scans, splits, set ops
+
+from rentrisk.operators import rows as R  # noqa: E402
+from rentrisk.operators import split as S  # noqa: E402
+from rentrisk.operators.setops import union_by_first  # noqa: E402
+from rentrisk.session import scratch_path  # noqa: E402
+from rentrisk.sources.delimited import read_delimited, write_delimited  # noqa: E402
+from rentrisk.sources.fixtures import RAW_COLUMNS  # noqa: E402
+from rentrisk.sources.tables import Table  # noqa: E402
+
+DS = "20190326"
+DS_PREV = "20190325"
+RAW_N_SQL = "(select count(*) from orders join customer on o_custkey = c_custkey)"
+CUT_SQL = f"({RAW_N_SQL} * 7 // 10 + 1)"
+PAYMENTS = f"({O.payments_sql(SEED)})"
+
+
+def train_cut(n_rows: int) -> int:
+    """First test id: the first 70% of the random ids train, the rest test."""
+    return n_rows * 7 // 10 + 1
+
+
+def _cut(spark, sf_dir) -> int:
+    return train_cut(derived_raw(spark, sf_dir, with_key=False).count())
+
+
+def payment_table(spark: SparkSession, sf_dir: str, fmt: str = "parquet", bucketed: bool = True) -> Table:
+    schema = payments(spark, sf_dir, keep_key=False).schema
+    name = "payment_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    kw = dict(bucket_col="id", sort_col="payment_date", num_buckets=16) if bucketed else {}
+    return Table(name=name, path=scratch_path(spark, name), schema=schema, fmt=fmt, **kw).create(spark)
+
+
+def loaded_payment_table(spark, sf_dir) -> Table:
+    t = payment_table(spark, sf_dir)
+    t.overwrite(payments(spark, sf_dir, keep_key=False), DS)
+    return t
+
+
+@register("scan_delimited", f"select {', '.join(RAW_COLUMNS)} from ({DERIVED_RAW_SQL})")
+def q_scan_delimited(spark, sf_dir):
+    path = scratch_path(spark, "raw")
+    write_delimited(derived_raw(spark, sf_dir, with_key=False), path)
+    return read_delimited(spark, path)
+
+
+@register("scan_pruned", f"select * exclude (src_key), '{DS}' as ds from {PAYMENTS} where id < {CUT_SQL}")
+def q_scan_pruned(spark, sf_dir):
+    t = loaded_payment_table(spark, sf_dir)
+    return t.scan(spark, DS).where(F.col("id") < F.lit(_cut(spark, sf_dir)))
+
+
+@register("train_split", f"""
+select id, name, age, house_id, house_zip, rent_amount, default_amount, false as is_syn
+from {PAYMENTS} where id < {CUT_SQL}""")
+def q_train_split(spark, sf_dir):
+    return S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
+
+
+@register("test_split", f"""
+select default_amount as label, name, age, house_id, house_zip, rent_amount, id
+from {PAYMENTS} where id >= {CUT_SQL}""")
+def q_test_split(spark, sf_dir):
+    return S.test_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
+
+
+CLASS_COUNTS_SQL = f"""
+select count_if(default_amount = 0) as majority, count_if(default_amount <> 0) as minority
+from {PAYMENTS} where id < {CUT_SQL}"""
+
+
+@register("class_counts", CLASS_COUNTS_SQL)
+def q_class_counts(spark, sf_dir):
+    return S.class_counts(S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir)))
+
+
+@register("size_multiplier", f"""
+select majority, minority,
+       case when minority > 0 then greatest(cast(majority // minority as int), 2) end as multiplier
+from ({CLASS_COUNTS_SQL})""")
+def q_size_multiplier(spark, sf_dir):
+    return S.size_multiplier(S.class_counts(S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir))))
+
+
+@register("replace_field", f"select * replace (upper(name) as name) from {PAYMENTS}")
+def q_replace_field(spark, sf_dir):
+    return R.replace_field(payments(spark, sf_dir), "name", F.upper("name"))
+
+
+@register("cast_trunc", f"""
+select id, cast(house_id as bigint) as house_id, cast(age as double) as age_d,
+       cast(trunc(cast(rent_amount as double) / 7) as int) as rent_sevenths,
+       cast(trunc(-(cast(default_amount as double) / 7)) as int) as neg_default_sevenths
+from {PAYMENTS}""")
+def q_cast_trunc(spark, sf_dir):
+    p = R.widen(payments(spark, sf_dir), ["house_id"], ["age", "rent_amount", "default_amount"])
+    return p.select("id", "house_id", F.col("age").alias("age_d"),
+                    R.truncate_to_int(F.col("rent_amount") / 7).alias("rent_sevenths"),
+                    R.truncate_to_int(-(F.col("default_amount") / 7)).alias("neg_default_sevenths"))
+
+
+@register("union_by_name", f"""
+select id, name, default_amount, false as is_syn from {PAYMENTS}
+union all
+select id, name, default_amount, true as is_syn from {PAYMENTS} where default_amount <> 0""")
+def q_union_by_name(spark, sf_dir):
+    p = payments(spark, sf_dir)
+    left = p.select("id", "name", "default_amount", F.lit(False).alias("is_syn"))
+    # different column order plus an extra column that the union drops
+    right = S.minority(p).select(F.lit(True).alias("is_syn"), "default_amount", "rent_amount", "name", "id")
+    return union_by_first(left, right)
+
+
+# ---------------------------------------------------------------- sinks, read back
+
+def _overwrite_flow(spark, sf_dir, fmt):
+    t = payment_table(spark, sf_dir, fmt=fmt, bucketed=(fmt == "parquet"))
+    p = payments(spark, sf_dir, keep_key=False)
+    t.overwrite(p, DS)                   # first load of the day
+    t.overwrite(S.minority(p), DS_PREV)  # another partition
+    t.overwrite(S.majority(p), DS)       # reload: replaces ds=DS only
+    return t.scan(spark)
+
+
+def _append_flow(spark, sf_dir, fmt):
+    t = payment_table(spark, sf_dir, fmt=fmt, bucketed=False)
+    p = payments(spark, sf_dir, keep_key=False)
+    t.append(p, DS)
+    t.append(S.minority(p), DS)          # duplicates are kept
+    # reference-style: write partition files to a path, then register the partition
+    loc = scratch_path(spark, "part")
+    p.where(S.is_minority()).write.format(fmt).save(loc)
+    t.add_partition(spark, DS_PREV, loc)
+    t.add_partition(spark, DS_PREV, loc)  # idempotent
+    return t.scan(spark)
+
+
+OVERWRITE_SQL = f"""
+select * exclude (src_key), '{DS}' as ds from {PAYMENTS} where default_amount = 0
+union all
+select * exclude (src_key), '{DS_PREV}' as ds from {PAYMENTS} where default_amount <> 0"""
+APPEND_SQL = f"""
+select * exclude (src_key), '{DS}' as ds from {PAYMENTS}
+union all
+select * exclude (src_key), '{DS}' as ds from {PAYMENTS} where default_amount <> 0
+union all
+select * exclude (src_key), '{DS_PREV}' as ds from {PAYMENTS} where default_amount <> 0"""
+
+
+@register("partition_overwrite", OVERWRITE_SQL)
+def q_partition_overwrite(spark, sf_dir):
+    return _overwrite_flow(spark, sf_dir, "parquet")
+
+
+@register("partition_append", APPEND_SQL)
+def q_partition_append(spark, sf_dir):
+    return _append_flow(spark, sf_dir, "parquet")
+
+
+@register("orc_overwrite", OVERWRITE_SQL)
+def q_orc_overwrite(spark, sf_dir):
+    return _overwrite_flow(spark, sf_dir, "orc")
+
+
+@register("orc_append", APPEND_SQL)
+def q_orc_append(spark, sf_dir):
+    return _append_flow(spark, sf_dir, "orc")
