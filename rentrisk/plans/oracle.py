@@ -35,7 +35,7 @@ def hash32(seed, *exprs: str) -> str:
 
 
 def hash_unit(seed, *exprs: str) -> str:
-    return f"({hash32(seed, *exprs)} / 4294967296.0)"
+    return f"({hash32(seed, *exprs)} / cast(4294967296 as double))"
 
 
 def age(dob: str, as_of: str) -> str:

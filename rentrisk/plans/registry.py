@@ -267,3 +267,105 @@ def q_orc_overwrite(spark, sf_dir):
 @register("orc_append", APPEND_SQL)
 def q_orc_append(spark, sf_dir):
     return _append_flow(spark, sf_dir, "orc")
+
+
+# ---------------------------------------------------------------- kNN and SMOTE
+
+from rentrisk.operators.knn import knn, row_neighbours  # noqa: E402
+from rentrisk.operators.smote import SmoteSpec, synthetic_rows  # noqa: E402
+
+K = 10   # the reference's smote_k
+SMOTE_DISCRETE = ["name", "house_id", "house_zip"]
+SMOTE_CONTINUOUS = ["age", "rent_amount", "default_amount"]
+SMOTE_ATTRS = SMOTE_DISCRETE + SMOTE_CONTINUOUS
+
+
+def smote_sample(spark, sf_dir) -> DataFrame:
+    """The minority rows of the train split, widened as the reference does before SMOTE."""
+    train = S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
+    return R.widen(S.minority(train).select("id", *SMOTE_ATTRS), ["house_id", "house_zip"], SMOTE_CONTINUOUS)
+
+
+MINO_SQL = f"""
+select id, name, cast(house_id as bigint) as house_id, cast(house_zip as bigint) as house_zip,
+       cast(age as double) as age, cast(rent_amount as double) as rent_amount,
+       cast(default_amount as double) as default_amount
+from {PAYMENTS} where id < {CUT_SQL} and default_amount <> 0"""
+
+
+def _t_sql(c):
+    return (f"(case when st.rng_{c} = 0 then 0.0 else ((a.{c} - b.{c}) / st.rng_{c}) * ((a.{c} - b.{c}) / st.rng_{c}) end)")
+
+
+def _d2_sql():
+    cont = " + ".join(_t_sql(c) for c in SMOTE_CONTINUOUS)
+    mism = " + ".join(f"(case when a.{d} is not distinct from b.{d} then 0 else 1 end)" for d in SMOTE_DISCRETE)
+    return f"(({cont}) + cast(({mism}) as double))"
+
+
+def knn_sql(k: int) -> str:
+    order = ", ".join(f"b.{a} nulls first" for a in SMOTE_ATTRS)
+    return f"""
+with mino as ({MINO_SQL}),
+st as (select count(*) as n, {', '.join(f'max({c}) - min({c}) as rng_{c}' for c in SMOTE_CONTINUOUS)} from mino),
+pairs as (
+  select a.id, {', '.join(f'b.{x} as nb_{x}' for x in SMOTE_ATTRS)}, {_d2_sql()} as d2,
+         row_number() over (partition by a.id order by {_d2_sql()}, {order}) - 1 as slot,
+         least({k}, st.n - 1) as k_eff
+  from mino a join mino b on a.id <> b.id cross join st)
+select id, cast(slot as bigint) as slot, {', '.join(f'nb_{x}' for x in SMOTE_ATTRS)}, d2 from pairs where slot < k_eff"""
+
+
+@register("knn_exact", knn_sql(K))
+def q_knn_exact(spark, sf_dir):
+    sample = smote_sample(spark, sf_dir)
+    res = knn(sample.select(*SMOTE_ATTRS), SMOTE_DISCRETE, SMOTE_CONTINUOUS, K)
+    return row_neighbours(sample, "id", res, SMOTE_DISCRETE, SMOTE_CONTINUOUS)
+
+
+MULT_SQL = f"(select case when minority > 0 then greatest(cast(majority // minority as int), 2) end from ({CLASS_COUNTS_SQL}))"
+
+
+def smote_sql(k: int, seed: int) -> str:
+    u = O.hash32(seed, "g.id", "g.copy", "'u'")
+    gap = O.hash_unit(seed, "g.id", "g.copy", "'g'")
+    disc = ", ".join(
+        f"case when {O.hash32(seed, 'g.id', 'g.copy', repr(f'c{i}'))} % 2 = 0 then g.{d} else n.nb_{d} end as {d}"
+        for i, d in enumerate(SMOTE_DISCRETE))
+    cont = ", ".join(f"g.{c} + {gap} * (n.nb_{c} - g.{c}) as {c}" for c in SMOTE_CONTINUOUS)
+    return f"""
+with nbrs as ({knn_sql(k)}),
+mino as ({MINO_SQL}),
+keff as (select least({k}, count(*) - 1) as k_eff from mino),
+gen as (select m.*, c.copy from mino m, (select unnest(range(1, {MULT_SQL})) as copy) c)
+select g.id as parent_id, cast(g.copy as int) as copy, {disc}, {cont}
+from gen g cross join keff join nbrs n on n.id = g.id and n.slot = {u} % keff.k_eff"""
+
+
+def smote_train_sql(k: int, seed: int) -> str:
+    syn = smote_sql(k, seed)
+    return f"""
+with syn as ({syn}),
+t as (
+  select id as _src, 0 as _copy, name, age, house_id, house_zip, rent_amount, default_amount, false as is_syn
+  from {PAYMENTS} where id < {CUT_SQL}
+  union all
+  select parent_id, copy, name, cast(trunc(age) as int), cast(house_id as int), cast(house_zip as int),
+         cast(trunc(rent_amount) as int), cast(trunc(default_amount) as int), true from syn)
+select row_number() over (order by {O.hash60(seed, '_src', '_copy')}, _src, _copy) as id,
+       name, age, house_id, house_zip, rent_amount, default_amount, is_syn
+from t"""
+
+
+@register("smote_exact", smote_sql(K, SEED))
+def q_smote_exact(spark, sf_dir):
+    train = S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
+    from rentrisk.plans.sample import multiplier_of
+    spec = SmoteSpec(SMOTE_DISCRETE, SMOTE_CONTINUOUS, K, multiplier_of(train), SEED)
+    return synthetic_rows(smote_sample(spark, sf_dir), spec).withColumn("copy", F.col("copy").cast("int"))
+
+
+@register("smote_train_table", smote_train_sql(K, SEED))
+def q_smote_train_table(spark, sf_dir):
+    from rentrisk.plans.sample import sample_train
+    return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
