@@ -89,14 +89,12 @@ def _radius_ladder(rho2_0: float, top: float) -> list[float]:
     return out
 
 
-def knn(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
-        first_radius2: float | None = None) -> KnnResult:
-    spark = rows.sparkSession
+def prepare_points(rows: DataFrame, discrete: list[str], continuous: list[str], k: int):
+    """Weighted distinct points with stable ids and scaled coordinates; stats; k capped at n-1."""
     attrs = discrete + continuous
     stats = scale_stats(rows, continuous)
     n = int(stats["_n"])
     k_eff = max(0, min(k, n - 1))
-
     pts = rows.groupBy(*attrs).agg(F.count(F.lit(1)).alias("_w"))
     z = []
     for c in continuous:
@@ -105,29 +103,46 @@ def knn(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
         z.append(zc.alias(f"_z_{c}"))
     # unique, stable point ids: assigned once, then made durable by the checkpoint
     pts = pts.select(F.monotonically_increasing_id().alias("_pid"), *attrs, "_w", *z).checkpoint()
-    n_pts = pts.count()
+    return pts, stats, n, k_eff
 
-    nb = {a: f"nb_{a}" for a in attrs}
-    empty_entries = pts.select("_pid", F.lit(0).cast("bigint").alias("_slot"), F.lit(0).cast("bigint").alias("_take"),
-                               *[F.col(a).alias(nb[a]) for a in attrs], F.lit(0.0).alias("_d2")).limit(0)
-    if k_eff == 0:
-        return KnnResult(pts, empty_entries, 0, n, 0)
 
+def self_entries(pts: DataFrame, attrs: list[str], k_eff: int) -> DataFrame:
+    """The copies of a point are its nearest neighbours (distance 0)."""
     own = F.col("_w") - 1
-    # the copies of a point are its nearest neighbours (distance 0)
-    self_entries = pts.where(own > 0).select(
+    return pts.where(own > 0).select(
         "_pid", F.lit(0).cast("bigint").alias("_slot"), F.least(own, F.lit(k_eff)).cast("bigint").alias("_take"),
-        *[F.col(a).alias(nb[a]) for a in attrs], F.lit(0.0).alias("_d2"))
-    pending = pts.where(own < k_eff)
+        *[F.col(a).alias(f"nb_{a}") for a in attrs], F.lit(0.0).alias("_d2"))
+
+
+def knn(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
+        first_radius2: float | None = None) -> KnnResult:
+    attrs = discrete + continuous
+    pts, stats, n, k_eff = prepare_points(rows, discrete, continuous, k)
+    if k_eff == 0:
+        return KnnResult(pts, _no_entries(pts, attrs), 0, n, 0)
+    pending = pts.where(F.col("_w") - 1 < k_eff)
+    found, rounds = exact_rounds(pts, pending, discrete, continuous, stats, k_eff, first_radius2)
+    return KnnResult(pts, self_entries(pts, attrs, k_eff).unionByName(found), k_eff, n, rounds)
 
+
+def _no_entries(pts: DataFrame, attrs: list[str]) -> DataFrame:
+    return pts.select("_pid", F.lit(0).cast("bigint").alias("_slot"), F.lit(0).cast("bigint").alias("_take"),
+                      *[F.col(a).alias(f"nb_{a}") for a in attrs], F.lit(0.0).alias("_d2")).limit(0)
+
+
+def exact_rounds(pts: DataFrame, pending: DataFrame, discrete: list[str], continuous: list[str], stats: dict,
+                 k_eff: int, first_radius2: float | None = None) -> tuple[DataFrame, int]:
+    """Neighbour entries (excluding own copies) of the ``pending`` points, found exactly."""
+    attrs = discrete + continuous
     C, D = len(continuous), len(discrete)
     top = float(C + D)
     if first_radius2 is None:
         # a radius holding about k points if they were spread evenly
-        first_radius2 = min(top, max(1e-6, (k_eff / max(n_pts, 1)) ** (2.0 / max(C, 1))))
+        n_pts = max(1, pts.count())
+        first_radius2 = min(top, max(1e-6, (k_eff / n_pts) ** (2.0 / max(C, 1))))
     masks = list(range(1 << D))
     offsets = list(itertools.product((-1, 0, 1), repeat=C))
-    parts = [self_entries]
+    parts = []
     rounds = 0
     for rho2 in _radius_ladder(first_radius2, top):
         if pending.isEmpty():
@@ -146,10 +161,28 @@ def knn(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
         parts.append(found.where("_done").drop("_done"))
         done = found.where("_done").select("_pid").distinct()
         pending = pending.join(done, "_pid", "left_anti").checkpoint()
-    entries = parts[0]
-    for p in parts[1:]:
-        entries = entries.unionByName(p)
-    return KnnResult(pts, entries, k_eff, n, rounds)
+    out = _no_entries(pts, attrs)
+    for p in parts:
+        out = out.unionByName(p)
+    return out, rounds
+
+
+def top_k(cand: DataFrame, attrs: list[str], k_eff: int) -> DataFrame:
+    """Per point: the first k slots of its candidates ordered by (d2, attributes), weights expanded.
+
+    ``cand`` has p_pid, p_w, q_w, q_<attr>, _d2. ``_done`` says the point's candidates hold k.
+    """
+    w_order = Window.partitionBy("p_pid").orderBy("_d2", *[f"q_{a}" for a in attrs])
+    w_all = Window.partitionBy("p_pid")
+    before = F.coalesce(F.sum("q_w").over(w_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.col("p_w") - 1
+    ranked = (cand.withColumn("_before", own + before)
+              .withColumn("_done", (own + F.sum("q_w").over(w_all)) >= F.lit(k_eff))
+              .where(F.col("_before") < F.lit(k_eff)))
+    return ranked.select(
+        F.col("p_pid").alias("_pid"), F.col("_before").cast("bigint").alias("_slot"),
+        F.least(F.col("q_w"), F.lit(k_eff) - F.col("_before")).cast("bigint").alias("_take"),
+        *[F.col(f"q_{a}").alias(f"nb_{a}") for a in attrs], "_d2", "_done")
 
 
 def _strata_col(strata) -> Column:
@@ -201,17 +234,7 @@ def _round(pts, pending, discrete, continuous, stats, strata, offsets, rho2, k_e
     cand = (j.where((F.col("p_pid") != F.col("q_pid")) & (agree == F.col("_mask")))
             .withColumn("_d2", d2).where(F.col("_d2") <= F.lit(rho2)))
 
-    w_order = Window.partitionBy("p_pid").orderBy("_d2", *[f"q_{a}" for a in attrs])
-    w_all = Window.partitionBy("p_pid")
-    before = F.coalesce(F.sum("q_w").over(w_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = F.col("p_w") - 1
-    ranked = (cand.withColumn("_before", own + before)
-              .withColumn("_done", (own + F.sum("q_w").over(w_all)) >= F.lit(k_eff))
-              .where(F.col("_before") < F.lit(k_eff)))
-    return ranked.select(
-        F.col("p_pid").alias("_pid"), F.col("_before").cast("bigint").alias("_slot"),
-        F.least(F.col("q_w"), F.lit(k_eff) - F.col("_before")).cast("bigint").alias("_take"),
-        *[F.col(f"q_{a}").alias(f"nb_{a}") for a in attrs], "_d2", "_done")
+    return top_k(cand, attrs, k_eff)
 
 
 def row_neighbours(rows: DataFrame, id_col: str, res: KnnResult, discrete: list[str],

@@ -369,3 +369,168 @@ def q_smote_exact(spark, sf_dir):
 def q_smote_train_table(spark, sf_dir):
     from rentrisk.plans.sample import sample_train
     return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
+
+
+@register("knn_lsh")
+def q_knn_lsh(spark, sf_dir):
+    """Approximate neighbours (LSH); checked by row count here and by recall in the tests."""
+    from rentrisk.operators.lsh import knn_lsh
+    sample = smote_sample(spark, sf_dir)
+    res = knn_lsh(sample.select(*SMOTE_ATTRS), SMOTE_DISCRETE, SMOTE_CONTINUOUS, K, seed=SEED)
+    return row_neighbours(sample, "id", res, SMOTE_DISCRETE, SMOTE_CONTINUOUS)
+
+
+# ---------------------------------------------------------------- features, folds, models, metrics
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.regression import LinearRegression  # noqa: E402
+
+from rentrisk.operators import features as FE  # noqa: E402
+from rentrisk.operators import model as M  # noqa: E402
+from rentrisk.operators.metrics import regression_metrics, report_row  # noqa: E402
+from rentrisk.sources.tables import write_report  # noqa: E402
+
+TRAIN_ROWS_SQL = f"""(select default_amount as label, name, age, house_id, house_zip, rent_amount, id
+                      from {PAYMENTS} where id < {CUT_SQL})"""
+NAME_INDEX_SQL = f"""(select name, cast(row_number() over (order by count(*) desc, name) - 1 as int) as name_index
+                      from {TRAIN_ROWS_SQL} group by name)"""
+
+
+def model_train_rows(spark, sf_dir) -> DataFrame:
+    return S.model_rows(S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir)))
+
+
+@register("string_index", f"select * from {NAME_INDEX_SQL}")
+def q_string_index(spark, sf_dir):
+    tr = model_train_rows(spark, sf_dir)
+    m = FE.name_indexer().fit(tr)
+    return m.transform(tr.select("name").distinct()).select("name", F.col("name_index").cast("int"))
+
+
+@register("one_hot_long", f"""
+select id, 'name_1hot' as feature, cast(i.name_index as bigint) as slot, 1.0 as value
+from {TRAIN_ROWS_SQL} t join {NAME_INDEX_SQL} i using (name)
+union all select id, 'house_id_1hot', cast(house_id as bigint), 1.0 from {TRAIN_ROWS_SQL}
+union all select id, 'house_zip_1hot', cast(house_zip as bigint), 1.0 from {TRAIN_ROWS_SQL}""")
+def q_one_hot_long(spark, sf_dir):
+    tr = model_train_rows(spark, sf_dir)
+    m = Pipeline(stages=[FE.name_indexer(), FE.one_hot()]).fit(tr)
+    return FE.vector_long(m.transform(tr), "id", FE.ONE_HOT_OUTPUTS)
+
+
+@register("age_buckets", f"""
+select id, age, case when age < 0 then 0.0 when age < 20 then 1.0 when age < 30 then 2.0 when age < 40 then 3.0
+                     when age < 50 then 4.0 when age < 60 then 5.0 else 6.0 end as age_buckets
+from {TRAIN_ROWS_SQL}""")
+def q_age_buckets(spark, sf_dir):
+    return FE.age_buckets().transform(model_train_rows(spark, sf_dir)).select("id", "age", "age_buckets")
+
+
+@register("assemble_long", f"""
+with t as {TRAIN_ROWS_SQL}, i as {NAME_INDEX_SQL},
+w as (select (select count(*) + 1 from i) as wn,  -- names + the unseen-name slot
+ max(house_id) + 1 as wh, max(house_zip) + 1 as wz from t),
+b as (select id, rent_amount, case when age < 0 then 0.0 when age < 20 then 1.0 when age < 30 then 2.0
+      when age < 40 then 3.0 when age < 50 then 4.0 when age < 60 then 5.0 else 6.0 end as ab from t)
+select id, 'features' as feature, cast(i.name_index as bigint) as slot, 1.0 as value from t join i using (name)
+union all select id, 'features', cast(wn + house_id as bigint), 1.0 from t, w
+union all select id, 'features', cast(wn + wh + house_zip as bigint), 1.0 from t, w
+union all select id, 'features', cast(wn + wh + wz as bigint), ab from b, w where ab <> 0
+union all select id, 'features', cast(wn + wh + wz + 1 as bigint), cast(rent_amount as double) from b, w
+  where rent_amount <> 0""")
+def q_assemble_long(spark, sf_dir):
+    tr = model_train_rows(spark, sf_dir)
+    m = Pipeline(stages=FE.feature_stages()).fit(tr)
+    return FE.vector_long(m.transform(tr), "id", ["features"])
+
+
+@register("fold_assign", f"select id, cast({O.hash32(M.FOLD_SEED, 'id')} % 3 as int) as fold from {TRAIN_ROWS_SQL}")
+def q_fold_assign(spark, sf_dir):
+    return M.add_folds(model_train_rows(spark, sf_dir)).select("id", "fold")
+
+
+LASSO_REGS = [0.1, 1.0, 20.0]
+
+
+@register("lasso_one_feature", f"""
+with s as (select avg(rent_amount) as mx, avg(default_amount) as my, stddev_pop(rent_amount) as sx,
+                  stddev_pop(default_amount) as sy, corr(rent_amount, default_amount) as r
+           from {PAYMENTS} where id < {CUT_SQL}),
+g as (select unnest([{', '.join(str(x) for x in LASSO_REGS)}]) as reg_param),
+b as (select reg_param, sign(r) * greatest(abs(r) - reg_param / sy, 0) * sy / sx as coefficient, mx, my from s, g)
+select reg_param, round(coefficient, 6) as coefficient, round(my - coefficient * mx, 6) as intercept from b""")
+def q_lasso_one_feature(spark, sf_dir):
+    """M1: one-feature lasso fits against the closed-form soft threshold."""
+    tr = S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
+    data = VectorAssembler(inputCols=["rent_amount"], outputCol="features").transform(
+        tr.select(F.col("default_amount").cast("double").alias("label"), "rent_amount")).persist()
+    out = []
+    for reg in LASSO_REGS:
+        lr = LinearRegression(elasticNetParam=1.0, regParam=reg, maxIter=100, tol=1e-12).fit(data)
+        out.append((reg, float(lr.coefficients[0]), float(lr.intercept)))
+    data.unpersist()
+    df = spark.createDataFrame(out, "reg_param double, coefficient double, intercept double")
+    return df.select("reg_param", F.round("coefficient", 6).alias("coefficient"), F.round("intercept", 6).alias("intercept"))
+
+
+def _train_table(spark, sf_dir):
+    from rentrisk.plans.sample import sample_train
+    return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
+
+
+def _fitted(spark, sf_dir):
+    from rentrisk.plans.train import train_flow
+    train = _train_table(spark, sf_dir).checkpoint()
+    return train_flow(spark, train, scratch_path(spark, "model/reg_lasso_r2"), suffix="fixed")
+
+
+@register("lasso_cv_report")
+def q_lasso_cv_report(spark, sf_dir):
+    """Fit, save with a time suffix, and the validation row (iterative fit: rows only)."""
+    _, _, report = _fitted(spark, sf_dir)
+    return report
+
+
+@register("best_params")
+def q_best_params(spark, sf_dir):
+    cvm, _, _ = _fitted(spark, sf_dir)
+    return M.best_params(M.candidates(spark, cvm))
+
+
+@register("score_test")
+def q_score_test(spark, sf_dir):
+    """Load the saved model and score the rows from the id cut up."""
+    _, path, _ = _fitted(spark, sf_dir)
+    rows = S.test_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
+    return M.score(M.load(path), rows).select("id", "label", "prediction")
+
+
+METRIC_SQL = """
+with s as (select count(*) as n, sum((y - p) * (y - p)) as sse, sum(abs(y - p)) as sae, var_pop(y) as vy,
+                  var_pop(p) as vp, avg(y) as my, avg(p) as mp
+           from (select l_quantity as y, cast(l_linenumber * 7 as double) as p from lineitem))
+select round(1 - sse / (n * vy), 6) as r2, round(vp + (mp - my) * (mp - my), 6) as explained_var,
+       round(sae / n, 6) as mae, round(sse / n, 6) as mse, round(sqrt(sse / n), 6) as rmse from s"""
+
+
+def _fixed_prediction(spark, sf_dir):
+    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    return li.select(F.col("l_quantity").alias("label"), (F.col("l_linenumber") * 7).cast("double").alias("prediction"))
+
+
+def _rounded(df):
+    return df.select(*[F.round(c, 6).alias(c) if c != "model" else F.col(c) for c in df.columns])
+
+
+@register("regression_metrics", METRIC_SQL)
+def q_regression_metrics(spark, sf_dir):
+    return _rounded(regression_metrics(_fixed_prediction(spark, sf_dir)))
+
+
+@register("test_report", f"select 'fixed_prediction' as model, * from ({METRIC_SQL})")
+def q_test_report(spark, sf_dir):
+    """The report row appended to a path and read back."""
+    path = scratch_path(spark, "test_report")
+    write_report(report_row(regression_metrics(_fixed_prediction(spark, sf_dir)), "fixed_prediction"), path)
+    return _rounded(spark.read.parquet(path))
