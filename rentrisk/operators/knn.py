@@ -35,6 +35,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rentrisk.session import materialize
+
 MAX_GRID = 1 << 30
 
 
@@ -80,11 +82,11 @@ def distance2(p: dict, q: dict, discrete: list[str], continuous: list[str], stat
     return cont + (mism.cast("double") if mism is not None else F.lit(0.0))
 
 
-def _radius_ladder(rho2_0: float, top: float) -> list[float]:
+def _radius_ladder(rho2_0: float, top: float, growth: float = 4.0) -> list[float]:
     out, r = [], rho2_0
     while r < top:
         out.append(r)
-        r *= 2.0
+        r *= growth
     out.append(top * 1.0000001)
     return out
 
@@ -102,7 +104,7 @@ def prepare_points(rows: DataFrame, discrete: list[str], continuous: list[str],
         zc = ((F.col(c) - F.lit(float(stats[f"min_{c}"]))) / F.lit(float(rng))) if rng else F.lit(0.0)
         z.append(zc.alias(f"_z_{c}"))
     # unique, stable point ids: assigned once, then made durable by the checkpoint
-    pts = pts.select(F.monotonically_increasing_id().alias("_pid"), *attrs, "_w", *z).checkpoint()
+    pts = materialize(pts.select(F.monotonically_increasing_id().alias("_pid"), *attrs, "_w", *z), "knn-points")
     return pts, stats, n, k_eff
 
 
@@ -157,10 +159,10 @@ def exact_rounds(pts: DataFrame, pending: DataFrame, discrete: list[str], contin
             g = 1 if r >= 1.0 else int(min(MAX_GRID, max(1, math.floor(1.0 / (r * (1 + 1e-9))))) if r > 0 else MAX_GRID)
             strata.append((mask, g))
         found = _round(pts, pending, discrete, continuous, stats, strata, offsets, rho2, k_eff)
-        found = found.checkpoint()
+        found = materialize(found, "knn-round")
         parts.append(found.where("_done").drop("_done"))
         done = found.where("_done").select("_pid").distinct()
-        pending = pending.join(done, "_pid", "left_anti").checkpoint()
+        pending = materialize(pending.join(done, "_pid", "left_anti"), "knn-pending")
     out = _no_entries(pts, attrs)
     for p in parts:
         out = out.unionByName(p)

@@ -18,6 +18,7 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentrisk.session import materialize
 from rentrisk.operators.knn import (KnnResult, _no_entries, distance2, exact_rounds, prepare_points,
                                     self_entries, top_k)
 
@@ -45,7 +46,7 @@ def knn_lsh(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
     pc = {x: F.col(f"p_{x}") for x in attrs}
     qc = {x: F.col(f"q_{x}") for x in attrs}
     cand = cand.withColumn("_d2", distance2(pc, qc, discrete, continuous, stats))
-    ranked = top_k(cand, attrs, k_eff).checkpoint()
+    ranked = materialize(top_k(cand, attrs, k_eff), "lsh-candidates")
     approx = ranked.where("_done").drop("_done")
     done = ranked.where("_done").select("_pid").distinct()
     pending = pts.where(F.col("_w") - 1 < k_eff).join(done, "_pid", "left_anti")

@@ -105,7 +105,7 @@ def q_dense_random_id(spark, sf_dir):
 from rentrisk.operators import rows as R  # noqa: E402
 from rentrisk.operators import split as S  # noqa: E402
 from rentrisk.operators.setops import union_by_first  # noqa: E402
-from rentrisk.session import scratch_path  # noqa: E402
+from rentrisk.session import materialize, scratch_path  # noqa: E402
 from rentrisk.sources.delimited import read_delimited, write_delimited  # noqa: E402
 from rentrisk.sources.fixtures import RAW_COLUMNS  # noqa: E402
 from rentrisk.sources.tables import Table  # noqa: E402
@@ -481,7 +481,7 @@ def _train_table(spark, sf_dir):
 
 def _fitted(spark, sf_dir):
     from rentrisk.plans.train import train_flow
-    train = _train_table(spark, sf_dir).checkpoint()
+    train = materialize(_train_table(spark, sf_dir), "train")
     return train_flow(spark, train, scratch_path(spark, "model/reg_lasso_r2"), suffix="fixed")
 
 

@@ -70,3 +70,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Cuts the lineage in one pass (``checkpoint()`` would compute the plan twice
+    unless it is cached first), and the files survive the loss of any executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
