@@ -26,9 +26,6 @@ def _sf(path: str) -> str:
 def main() -> None:
     from rentrisk.session import build_session, scratch_path
     from rentrisk.plans import registry as Q
-    from rentrisk.plans.sample import sample_train
-    from rentrisk.plans.train import test_flow, train_flow
-    from rentrisk.sources.tables import Table
 
     spark = build_session(f"local[{CPUS}]", app="rentrisk-bench", shuffle_partitions=int(CPUS) * 2)
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up
@@ -45,20 +42,20 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     # ---- flows: clean -> sample -> train -> test, through real tables
-    pay = Q.payment_table(spark, SF_DIR)
-    timed("flow_clean", lambda: pay.overwrite(Q.payments(spark, SF_DIR, keep_key=False), Q.DS))
-    payment = pay.scan(spark, Q.DS)
-    cut = timed("id_cut", lambda: Q.train_cut(payment.count()))
-    train_schema = "id bigint, name string, age int, house_id int, house_zip int, rent_amount int, " \
-                   "default_amount int, is_syn boolean"
-    from pyspark.sql import types as T
-    tr = Table(name="train_" + scratch_path(spark, "t").rsplit("-", 1)[1], path=scratch_path(spark, "train"),
-               schema=T._parse_datatype_string(train_schema)).create(spark)
-    timed("flow_sample", lambda: tr.overwrite(sample_train(payment, cut, k=Q.K, seed=Q.SEED), Q.DS))
-    train = tr.scan(spark, Q.DS)
-    model_prefix = scratch_path(spark, "model/reg_lasso_r2")
-    _, path, _ = timed("flow_train", lambda: train_flow(spark, train, model_prefix, scratch_path(spark, "validation")))
-    timed("flow_test", lambda: test_flow(spark, payment, cut, path, scratch_path(spark, "test")).collect())
+    from rentrisk.plans import jobs
+    from rentrisk.sources.fixtures import derived_raw
+    from rentrisk.sources.tables import payment_table, train_table
+
+    uid = scratch_path(spark, "t").rsplit("-", 1)[1]
+    pay = payment_table(f"payment_{uid}", scratch_path(spark, "payment")).create(spark)
+    tr = train_table(f"train_{uid}", scratch_path(spark, "train")).create(spark)
+    raw = derived_raw(spark, SF_DIR, with_key=False)
+    timed("flow_clean", lambda: jobs.clean_job(raw, pay, Q.DS, seed=Q.SEED))
+    cut = timed("id_cut", lambda: Q.train_cut(pay.scan(spark, Q.DS).count()))
+    timed("flow_sample", lambda: jobs.sample_job(spark, pay, tr, Q.DS, cut, k=Q.K, seed=Q.SEED))
+    _, path, _ = timed("flow_train", lambda: jobs.train_job(spark, tr, Q.DS, scratch_path(spark, "model/reg_lasso_r2"),
+                                                            scratch_path(spark, "validation")))
+    timed("flow_test", lambda: jobs.test_job(spark, pay, Q.DS, cut, path, scratch_path(spark, "test")).collect())
 
     # ---- headline operators on the driver's tables
     for name in ["clean_payments", "dense_random_id", "scan_delimited", "class_counts", "knn_exact", "knn_lsh",

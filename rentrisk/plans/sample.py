@@ -45,6 +45,8 @@ def synthetic_train_rows(train: DataFrame, k: int, seed: int, mode: str = "exact
     if mode == "lsh":
         from rentrisk.operators.lsh import knn_lsh
         res = knn_lsh(sample.select(*DISCRETE, *CONTINUOUS), DISCRETE, CONTINUOUS, k, seed=seed, **lsh)
+    elif mode != "exact":
+        raise ValueError("mode must be 'exact' or 'lsh'")
     syn = synthetic_rows(sample, spec, res)
     return syn.select(
         F.col("parent_id").alias("_src"), F.col("copy").cast("int").alias("_copy"), "name",

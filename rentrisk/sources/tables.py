@@ -90,3 +90,32 @@ class Table:
 def write_report(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
     """Append report rows to a path (one small file per write)."""
     df.coalesce(1).write.mode(mode).format(fmt).save(path)
+
+
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """The database the tables live in."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
+
+
+def payment_schema() -> T.StructType:
+    return T._parse_datatype_string(
+        "id bigint, name string, age int, house_id int, house_zip int, payment_date date, "
+        "payment_date_year int, payment_date_month int, payment_date_day_of_week int, "
+        "payment_date_day_of_month int, payment_amount int, rent_amount int, default_amount int")
+
+
+def train_schema() -> T.StructType:
+    return T._parse_datatype_string(
+        "id bigint, name string, age int, house_id int, house_zip int, rent_amount int, default_amount int, "
+        "is_syn boolean")
+
+
+def payment_table(name: str, path: str, num_buckets: int = 16, files_per_bucket: int = 1) -> Table:
+    """The ``payment`` table: partitioned by ds, bucketed by id, sorted by payment_date."""
+    return Table(name=name, path=path, schema=payment_schema(), bucket_col="id", sort_col="payment_date",
+                 num_buckets=num_buckets, files_per_bucket=files_per_bucket)
+
+
+def train_table(name: str, path: str, num_files: int | None = None) -> Table:
+    return Table(name=name, path=path, schema=train_schema(), num_files=num_files)
