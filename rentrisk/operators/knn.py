@@ -8,22 +8,29 @@ attributes count 1 per mismatch (NULL equals NULL), and
 Neighbours are ordered by (d2, the neighbour's attribute values); copies of the
 same attribute vector are interchangeable. ``k`` is capped at ``n - 1``.
 
-Search without a cross join, exact:
+Search without a cross join, exact, with bounded blocks:
 
 * identical rows collapse to one weighted point first (a map-side-combined
   aggregate), so a value repeated a billion times is one point of weight 1e9;
-* rounds with a growing radius rho: a pair agreeing exactly on the discrete subset
-  S (mismatching on the others, m of them) can only be within rho when its
-  continuous distance is <= r_S = sqrt(rho^2 - m). Points are blocked by
-  (S, their values on S, a grid cell of side >= r_S); each query point probes the
-  3^C neighbouring cells, which contain every point within r_S. So each round
-  finds *every* point within rho, and a point whose weight within rho reaches k
-  is final. Unfinished points move to the next round, which has a larger rho;
-* the last round's rho covers the whole space, so every point finishes.
-
-Each round is a handful of shuffles over the points; its per-point result is
-checkpointed to the shared checkpoint folder, so rounds do not grow the lineage and
-survive executor loss.
+* every point is listed once per discrete subset S, keyed by its values on S.
+  A pair is examined only in the stratum S where it agrees exactly, and there its
+  distance is (continuous part) + (D - |S|);
+* inside a stratum, each S-group gets a grid whose cell side r is sized from the
+  group's own population so a 3^C cell neighbourhood holds about ``target``
+  points; a query probes its 3^C neighbouring cells, which hold every group
+  member within continuous distance r, so the query's result is exact up to
+  the certified radius rho^2 = min over S of (r_S^2 + D - |S|);
+* points with identical values on S *and* identical continuous values (a clump,
+  which no grid separates) are cut to their first L members in attribute order
+  (a window group limit, applied map-side); a query is accepted only when the
+  clump's cut key lies beyond its k-th neighbour, otherwise it retries with a
+  larger L;
+* unfinished points move to the next round, where every cell side doubles and L
+  grows; once cells span the unit cube and L exceeds every clump, every point
+  finishes.
+
+Each round's per-point result is written to the shared checkpoint folder, so
+rounds do not grow the lineage and survive executor loss.
 """
 
 from __future__ import annotations
@@ -82,15 +89,6 @@ def distance2(p: dict, q: dict, discrete: list[str], continuous: list[str], stat
     return cont + (mism.cast("double") if mism is not None else F.lit(0.0))
 
 
-def _radius_ladder(rho2_0: float, top: float, growth: float = 4.0) -> list[float]:
-    out, r = [], rho2_0
-    while r < top:
-        out.append(r)
-        r *= growth
-    out.append(top * 1.0000001)
-    return out
-
-
 def prepare_points(rows: DataFrame, discrete: list[str], continuous: list[str], k: int):
     """Weighted distinct points with stable ids and scaled coordinates; stats; k capped at n-1."""
     attrs = discrete + continuous
@@ -117,13 +115,13 @@ def self_entries(pts: DataFrame, attrs: list[str], k_eff: int) -> DataFrame:
 
 
 def knn(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
-        first_radius2: float | None = None) -> KnnResult:
+        target: float | None = None, clump_limit: int | None = None) -> KnnResult:
     attrs = discrete + continuous
     pts, stats, n, k_eff = prepare_points(rows, discrete, continuous, k)
     if k_eff == 0:
         return KnnResult(pts, _no_entries(pts, attrs), 0, n, 0)
     pending = pts.where(F.col("_w") - 1 < k_eff)
-    found, rounds = exact_rounds(pts, pending, discrete, continuous, stats, k_eff, first_radius2)
+    found, rounds = exact_rounds(pts, pending, discrete, continuous, stats, k_eff, target, clump_limit)
     return KnnResult(pts, self_entries(pts, attrs, k_eff).unionByName(found), k_eff, n, rounds)
 
 
@@ -132,34 +130,61 @@ def _no_entries(pts: DataFrame, attrs: list[str]) -> DataFrame:
                       *[F.col(a).alias(f"nb_{a}") for a in attrs], F.lit(0.0).alias("_d2")).limit(0)
 
 
+def cont_distance2(p: dict, q: dict, continuous: list[str], stats: dict) -> Column:
+    cont = None
+    for c in continuous:
+        t = _t(p[c], q[c], stats[f"rng_{c}"])
+        cont = t if cont is None else cont + t
+    return cont if cont is not None else F.lit(0.0)
+
+
+def strata_frame(pts: DataFrame, discrete: list[str]) -> DataFrame:
+    """Every point once per discrete subset S (bit mask), with its S-key ``_k*`` and group size ``_gn``."""
+    D = len(discrete)
+    x = pts.select("*", F.explode(F.array(*[F.lit(m) for m in range(1 << D)])).alias("_mask"))
+    keys = [F.when(F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0, F.col(d)).alias(f"_k{i}")
+            for i, d in enumerate(discrete)]
+    x = x.select("*", *keys)
+    kcols = ["_mask"] + [f"_k{i}" for i in range(D)]
+    sizes = x.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_gn"))
+    sizes = sizes.select(*[F.col(c).alias(f"_s{c}") for c in kcols], "_gn")
+    # skewed keys (the S = {} group holds everything) are split by AQE's skew join
+    cond = [x["_mask"] == sizes["_s_mask"]] + [x[f"_k{i}"].eqNullSafe(sizes[f"_s_k{i}"]) for i in range(D)]
+    return x.join(sizes, cond).drop(*[f"_s{c}" for c in kcols])
+
+
+def _grid(continuous: list[str], target: float, level: int) -> Column:
+    """Cells per unit side for a group of ``_gn`` points at this round (1 = the whole group)."""
+    C = len(continuous)
+    if C == 0:
+        return F.lit(1).cast("bigint")
+    r = F.lit(0.5) * F.pow(F.lit(float(target)) / F.col("_gn"), F.lit(1.0 / C)) * F.lit(float(2 ** level))
+    g = F.floor(F.lit(1.0) / (r * F.lit(1 + 1e-9)))
+    return F.when(r >= 1.0, F.lit(1)).otherwise(F.least(F.greatest(g, F.lit(1)), F.lit(MAX_GRID))).cast("bigint")
+
+
+def _cells(continuous: list[str]) -> list[Column]:
+    g = F.col("_g")
+    return [F.least(F.greatest(F.floor(F.col(f"_z_{c}") * g), F.lit(0)), g - 1).cast("bigint").alias(f"_c{i}")
+            for i, c in enumerate(continuous)]
+
+
 def exact_rounds(pts: DataFrame, pending: DataFrame, discrete: list[str], continuous: list[str], stats: dict,
-                 k_eff: int, first_radius2: float | None = None) -> tuple[DataFrame, int]:
+                 k_eff: int, target: float | None = None, clump_limit: int | None = None,
+                 max_rounds: int = 64) -> tuple[DataFrame, int]:
     """Neighbour entries (excluding own copies) of the ``pending`` points, found exactly."""
     attrs = discrete + continuous
-    C, D = len(continuous), len(discrete)
-    top = float(C + D)
-    if first_radius2 is None:
-        # a radius holding about k points if they were spread evenly
-        n_pts = max(1, pts.count())
-        first_radius2 = min(top, max(1e-6, (k_eff / n_pts) ** (2.0 / max(C, 1))))
-    masks = list(range(1 << D))
-    offsets = list(itertools.product((-1, 0, 1), repeat=C))
+    target = target or max(16.0, 2.0 * k_eff)
+    limit = clump_limit or max(64, 4 * k_eff)
+    strata = materialize(strata_frame(pts, discrete), "knn-strata")
     parts = []
     rounds = 0
-    for rho2 in _radius_ladder(first_radius2, top):
-        if pending.isEmpty():
-            break
+    while not pending.isEmpty():
+        if rounds >= max_rounds:
+            raise RuntimeError("kNN search did not converge")
+        found = materialize(_round(strata, pending, discrete, continuous, stats, k_eff, target, rounds,
+                                   limit * 4 ** rounds), "knn-round")
         rounds += 1
-        strata = []
-        for mask in masks:
-            m = D - bin(mask).count("1")
-            if rho2 < m:
-                continue
-            r = math.sqrt(rho2 - m)
-            g = 1 if r >= 1.0 else int(min(MAX_GRID, max(1, math.floor(1.0 / (r * (1 + 1e-9))))) if r > 0 else MAX_GRID)
-            strata.append((mask, g))
-        found = _round(pts, pending, discrete, continuous, stats, strata, offsets, rho2, k_eff)
-        found = materialize(found, "knn-round")
         parts.append(found.where("_done").drop("_done"))
         done = found.where("_done").select("_pid").distinct()
         pending = materialize(pending.join(done, "_pid", "left_anti"), "knn-pending")
@@ -169,76 +194,93 @@ def exact_rounds(pts: DataFrame, pending: DataFrame, discrete: list[str], contin
     return out, rounds
 
 
+def _round(strata, pending, discrete, continuous, stats, k_eff, target, level, limit) -> DataFrame:
+    attrs = discrete + continuous
+    D, C = len(discrete), len(continuous)
+    kc = [f"_k{i}" for i in range(D)]
+    cc = [f"_c{i}" for i in range(C)]
+    base = strata.withColumn("_g", _grid(continuous, target, level))
+
+    # data side: every point, clumps cut to their first `limit` members in attribute order
+    clump = Window.partitionBy("_mask", *kc, *continuous)
+    d = (base.withColumn("_rn", F.row_number().over(clump.orderBy(*attrs)))
+         .where(F.col("_rn") <= limit + 1))
+    d = (d.withColumn("_cap", F.max("_rn").over(clump) > limit)
+         .withColumn("_bnd", F.max(F.when(F.col("_rn") == limit, F.struct(*[F.col(a) for a in attrs]))).over(clump))
+         .where(F.col("_rn") <= limit))
+    data = d.select(F.col("_pid").alias("q_pid"), F.col("_w").alias("q_w"),
+                    *[F.col(a).alias(f"q_{a}") for a in attrs], "_mask", *kc, "_g", *_cells(continuous),
+                    "_cap", "_bnd")
+
+    # query side: pending points, certified radius = min over strata of (cell side^2 + mismatches)
+    q = base.join(pending.select("_pid"), "_pid", "left_semi")
+    m = F.lit(D) - F.bit_count("_mask")
+    side2 = (F.lit(1.0) / F.col("_g")) * (F.lit(1.0) / F.col("_g")) * F.lit(1 - 1e-9)
+    q = q.withColumn("_rho2", F.when(F.col("_g") == 1, F.lit(float("inf"))).otherwise(side2 + m))
+    q = q.withColumn("_cert", F.min("_rho2").over(Window.partitionBy("_pid")))
+    offsets = list(itertools.product((-1, 0, 1), repeat=C))
+    if offsets and C:
+        q = q.select("*", F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_o"))
+    cells = [(c + F.col("_o")[i]).alias(f"_c{i}") for i, c in enumerate(_cells(continuous))] if C else []
+    q = q.select(F.col("_pid").alias("p_pid"), F.col("_w").alias("p_w"), *[F.col(a).alias(f"p_{a}") for a in attrs],
+                 "_mask", *kc, "_g", "_cert", *cells)
+    inside = F.lit(True)
+    for c in cc:
+        inside = inside & F.col(c).between(F.lit(0), F.col("_g") - 1)
+    q = q.where(inside)
+
+    cond = [q["_mask"] == data["_mask"], q["_g"] == data["_g"]] + [q[c] == data[c] for c in cc] + \
+           [q[k].eqNullSafe(data[k]) for k in kc]
+    j = q.join(data, cond).select("p_pid", "p_w", "_cert", q["_mask"].alias("_mask"), "q_pid", "q_w", "_cap",
+                                  "_bnd", *[f"p_{a}" for a in attrs], *[f"q_{a}" for a in attrs])
+    agree = F.lit(0)
+    for i, dd in enumerate(discrete):
+        agree = agree + F.when(F.col(f"p_{dd}").eqNullSafe(F.col(f"q_{dd}")), F.lit(1 << i)).otherwise(F.lit(0))
+    pcol = {a: F.col(f"p_{a}") for a in attrs}
+    qcol = {a: F.col(f"q_{a}") for a in attrs}
+    j = j.withColumn("_d2", distance2(pcol, qcol, discrete, continuous, stats))
+    ok = (F.col("p_pid") != F.col("q_pid")) & (agree == F.col("_mask")) & (F.col("_d2") <= F.col("_cert"))
+    j = j.withColumn("_ok", ok)
+    # key an omitted member of a cut clump would have: same continuous point, exactly-S mismatches
+    mism = (F.lit(D) - F.bit_count("_mask")).cast("double")
+    bkey = F.struct(cont_distance2(pcol, qcol, continuous, stats).alias("d"), *[F.col("_bnd")[a].alias(a) for a in attrs])
+    j = j.withColumn("_bkey", F.when(F.col("_cap"), F.struct((bkey["d"] + mism).alias("d"),
+                                                             *[bkey[a].alias(a) for a in attrs])))
+    j = j.where(F.col("_ok") | F.col("_cap"))
+    return top_k(j, attrs, k_eff)
+
+
 def top_k(cand: DataFrame, attrs: list[str], k_eff: int) -> DataFrame:
     """Per point: the first k slots of its candidates ordered by (d2, attributes), weights expanded.
 
-    ``cand`` has p_pid, p_w, q_w, q_<attr>, _d2. ``_done`` says the point's candidates hold k.
+    ``cand`` has p_pid, p_w, q_w, q_<attr>, _d2 and optionally _ok (counts as a
+    neighbour) and _bkey (sort key of members left out of a cut clump). ``_done``
+    says the point's result is final.
     """
+    if "_ok" not in cand.columns:
+        cand = cand.withColumn("_ok", F.lit(True))
+    key = F.struct(F.col("_d2").alias("d"), *[F.col(f"q_{a}").alias(a) for a in attrs])
     w_order = Window.partitionBy("p_pid").orderBy("_d2", *[f"q_{a}" for a in attrs])
     w_all = Window.partitionBy("p_pid")
-    before = F.coalesce(F.sum("q_w").over(w_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wt = F.when(F.col("_ok"), F.col("q_w")).otherwise(F.lit(0))
+    before = F.coalesce(F.sum(wt).over(w_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     own = F.col("p_w") - 1
-    ranked = (cand.withColumn("_before", own + before)
-              .withColumn("_done", (own + F.sum("q_w").over(w_all)) >= F.lit(k_eff))
-              .where(F.col("_before") < F.lit(k_eff)))
-    return ranked.select(
+    r = (cand.withColumn("_before", own + before)
+         .withColumn("_total", own + F.coalesce(F.sum(wt).over(w_all), F.lit(0)))
+         .withColumn("_kept", F.col("_ok") & (F.col("_before") < F.lit(k_eff)))
+         .withColumn("_kth", F.max(F.when(F.col("_kept"), key)).over(w_all)))
+    done = F.col("_total") >= F.lit(k_eff)
+    if "_bkey" in cand.columns:
+        r = r.withColumn("_bmin", F.min("_bkey").over(w_all))
+        unsure = F.col("_bmin").isNotNull() & (F.col("_bmin") < F.col("_kth"))
+        done = done & ~F.coalesce(unsure, F.lit(False))
+    r = r.withColumn("_done", done)
+    return r.where("_kept").select(
         F.col("p_pid").alias("_pid"), F.col("_before").cast("bigint").alias("_slot"),
         F.least(F.col("q_w"), F.lit(k_eff) - F.col("_before")).cast("bigint").alias("_take"),
         *[F.col(f"q_{a}").alias(f"nb_{a}") for a in attrs], "_d2", "_done")
 
 
-def _strata_col(strata) -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(g).cast("bigint").alias("g"))
-                               for m, g in strata])).alias("_s")
-
-
-def _cell(zc: str) -> Column:
-    g = F.col("_s.g")
-    return F.least(F.greatest(F.floor(F.col(zc) * g), F.lit(0)), g - 1).cast("bigint")
-
-
-def _masked(discrete: list[str], prefix: str = "") -> list[Column]:
-    out = []
-    for i, d in enumerate(discrete):
-        on = (F.col("_s.mask").bitwiseAND(F.lit(1 << i)) != 0)
-        out.append(F.when(on, F.col(d)).alias(f"_k{i}"))
-    return out
-
-
-def _round(pts, pending, discrete, continuous, stats, strata, offsets, rho2, k_eff) -> DataFrame:
-    attrs = discrete + continuous
-    zc = [f"_z_{c}" for c in continuous]
-    data = (pts.select("_pid", *attrs, "_w", *zc, _strata_col(strata))
-            .select(F.col("_pid").alias("q_pid"), *[F.col(a).alias(f"q_{a}") for a in attrs],
-                    F.col("_w").alias("q_w"), F.col("_s.mask").alias("_mask"), *_masked(discrete),
-                    *[_cell(z).alias(f"_c{i}") for i, z in enumerate(zc)]))
-    off = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_o") if offsets else F.lit(None)
-    q = pending.select("_pid", *attrs, "_w", *zc, _strata_col(strata)).select("*", off)
-    cells = [(_cell(z) + F.col("_o")[i]).alias(f"_c{i}") for i, z in enumerate(zc)]
-    q = q.select(F.col("_pid").alias("p_pid"), *[F.col(a).alias(f"p_{a}") for a in attrs],
-                 F.col("_w").alias("p_w"), F.col("_s.mask").alias("_mask"), *_masked(discrete),
-                 F.col("_s.g").alias("_g"), *cells)
-    inside = F.lit(True)
-    for i in range(len(zc)):
-        inside = inside & F.col(f"_c{i}").between(F.lit(0), F.col("_g") - 1)
-    q = q.where(inside).drop("_g")
-
-    keys = ["_mask"] + [f"_c{i}" for i in range(len(zc))]
-    cond = [q[c] == data[c] for c in keys] + [q[f"_k{i}"].eqNullSafe(data[f"_k{i}"]) for i in range(len(discrete))]
-    j = q.join(data, cond).select("p_pid", "p_w", q["_mask"].alias("_mask"), "q_pid", "q_w",
-                                  *[f"p_{a}" for a in attrs], *[f"q_{a}" for a in attrs])
-    agree = F.lit(0)
-    for i, d in enumerate(discrete):
-        agree = agree + F.when(F.col(f"p_{d}").eqNullSafe(F.col(f"q_{d}")), F.lit(1 << i)).otherwise(F.lit(0))
-    pcol = {a: F.col(f"p_{a}") for a in attrs}
-    qcol = {a: F.col(f"q_{a}") for a in attrs}
-    d2 = distance2(pcol, qcol, discrete, continuous, stats)
-    cand = (j.where((F.col("p_pid") != F.col("q_pid")) & (agree == F.col("_mask")))
-            .withColumn("_d2", d2).where(F.col("_d2") <= F.lit(rho2)))
-
-    return top_k(cand, attrs, k_eff)
-
-
 def row_neighbours(rows: DataFrame, id_col: str, res: KnnResult, discrete: list[str],
                    continuous: list[str]) -> DataFrame:
     """Per input row: (id, slot 0..k-1, neighbour attributes, d2)."""

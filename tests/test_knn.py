@@ -103,3 +103,17 @@ def test_lsh_recall(spark):
     hit = sum(sum((Counter(v) & Counter(eb.get(i, []))).values()) for i, v in ea.items())
     tot = sum(len(v) for v in ea.values())
     assert hit / tot >= 0.75, hit / tot
+
+
+def test_hot_group_with_clumps_matches_brute_force(spark):
+    # one "house" holds most rows; many share identical continuous values (clumps)
+    data = []
+    for i in range(120):
+        data.append((i, f"t{i:03d}", 7, 107, 30.0 + (i % 3), 900.0, 900.0 if i % 4 else 450.0))
+    for i in range(40):
+        data.append((1000 + i, f"o{i:02d}", i % 5, 100 + i % 7, 20.0 + i, 500.0 + 10 * i, 25.0 * (i % 9)))
+    df = _rows(spark, data)
+    for k, limit, target in [(5, 2, 4.0), (10, 3, 8.0)]:
+        res = knn(df.select(*D, *C), D, C, k, target=target, clump_limit=limit)
+        assert spark_lists(spark, df, res) == brute(df.collect(), k), (k, limit)
+        assert res.rounds >= 1
