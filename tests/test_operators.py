@@ -65,3 +65,26 @@ def test_folds_disjoint_complete(spark):
     assert sorted(r.fold for r in f) == [0, 1, 2]
     assert sum(r["count"] for r in f) == 3000
     assert min(r["count"] for r in f) > 900
+
+
+def test_time_suffix_format(spark):
+    from rentrisk.functions.dates import time_suffix
+    r = spark.sql("select timestamp'2019-03-26 07:08:09' as ts").select(time_suffix("ts").alias("s")).first()
+    assert r.s == "20190326_070809"
+
+
+def test_model_save_load_same_predictions(spark):
+    from rentrisk.operators import model as M
+    rows = [(float((i * 37) % 200 if i % 9 == 0 else 0), f"n{i % 40}", 20 + i % 50, i % 12, 100 + i % 7,
+             500 + (i * 13) % 900, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "label double, name string, age int, house_id int, house_zip int, "
+                                     "rent_amount int, id long")
+    cvm = M.fit(df)
+    assert len(cvm.avgMetrics) == 2
+    from rentrisk.session import scratch_path
+    path = M.save(cvm, scratch_path(spark, "model"))
+    a = M.score(cvm, df).select("id", "prediction").collect()
+    b = M.score(M.load(path), df).select("id", "prediction").collect()
+    assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b)
+    best = M.best_params(M.candidates(spark, cvm)).first()
+    assert best.avg_metric == max(cvm.avgMetrics)
