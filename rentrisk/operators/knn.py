@@ -285,17 +285,39 @@ def row_neighbours(rows: DataFrame, id_col: str, res: KnnResult, discrete: list[
                    continuous: list[str]) -> DataFrame:
     """Per input row: (id, slot 0..k-1, neighbour attributes, d2)."""
     attrs = discrete + continuous
-    rp = _attach_pid(rows, id_col, res.points, attrs)
-    e = res.entries
-    j = rp.join(e, "_pid")
+    rp = attach_points(rows.select(id_col, *attrs), res.points.select("_pid", *attrs, "_w"), attrs, res.n_rows)
+    j = rp.join(res.entries, "_pid")
     return j.select(id_col, F.explode(F.sequence(F.col("_slot"), F.col("_slot") + F.col("_take") - 1)).alias("slot"),
                     *[F.col(f"nb_{a}") for a in attrs], F.col("_d2").alias("d2"))
 
 
-def _attach_pid(rows: DataFrame, id_col: str, points: DataFrame, attrs: list[str]) -> DataFrame:
-    p = points.select("_pid", *[F.col(a).alias(f"_pt_{a}") for a in attrs])
-    cond = [rows[a].eqNullSafe(p[f"_pt_{a}"]) for a in attrs]
-    return rows.join(p, cond).select(id_col, *attrs, "_pid")
+HOT_SHARE = 1000
+
+
+def attach_points(rows: DataFrame, points: DataFrame, attrs: list[str], n_rows: int) -> DataFrame:
+    """Join rows to their point (one row per attribute vector, weight ``_w``) on the attributes.
+
+    A point with more than n/HOT_SHARE copies would make one join task take all
+    its rows. There are fewer than HOT_SHARE such points (weights sum to n), so
+    they are broadcast and joined map-side; their rows are removed from the
+    shuffled join of the rest by a broadcast anti-join before the exchange.
+    """
+    hot_min = max(1, n_rows // HOT_SHARE)
+    ren = [F.col(a).alias(f"_pt_{a}") for a in attrs]
+    others = [c for c in points.columns if c not in attrs]
+    pt = points.select(*ren, *others)
+    hot = F.broadcast(pt.where(F.col("_w") > hot_min))
+    cold = pt.where(F.col("_w") <= hot_min)
+
+    def cond(p):
+        return [rows[a].eqNullSafe(p[f"_pt_{a}"]) for a in attrs]
+
+    hot_keys = F.broadcast(pt.where(F.col("_w") > hot_min).select(*[f"_pt_{a}" for a in attrs]))
+    rest = rows.join(hot_keys, cond(hot_keys), "left_anti")
+    out_cols = rows.columns + [c for c in others if c not in rows.columns]
+    a = rows.join(hot, cond(hot)).select(*out_cols)
+    b = rest.join(cold, cond(cold)).select(*out_cols)
+    return a.unionByName(b)
 
 
 def neighbour_arrays(res: KnnResult, attrs: list[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentrisk.functions.hashing import hash32, hash_unit
-from rentrisk.operators.knn import KnnResult, _attach_pid, knn, neighbour_arrays
+from rentrisk.operators.knn import KnnResult, attach_points, knn, neighbour_arrays
 
 
 @dataclass
@@ -42,11 +42,13 @@ def synthetic_rows(sample: DataFrame, spec: SmoteSpec, res: KnnResult | None = N
         return sample.select(F.col(spec.id_col).alias("parent_id"), F.lit(0).alias("copy"), *attrs).limit(0)
     if res is None:
         res = knn(sample.select(*attrs), spec.discrete, spec.continuous, spec.k)
-    rows = _attach_pid(sample, spec.id_col, res.points, attrs)
+    pts = res.points.select("_pid", *attrs, "_w")
     if res.k_eff > 0:
-        rows = rows.join(neighbour_arrays(res, attrs), "_pid", "left")
+        # neighbour lists go to the points first (one to one), then one join to the rows
+        pts = pts.join(neighbour_arrays(res, attrs), "_pid", "left")
     else:
-        rows = rows.withColumn("_nbs", F.lit(None))
+        pts = pts.withColumn("_nbs", F.lit(None))
+    rows = attach_points(sample.select(spec.id_col, *attrs), pts, attrs, res.n_rows)
     rid = F.col(spec.id_col)
     r = F.col("copy")
     gen = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(spec.multiplier - 1))).alias("copy"))

@@ -117,3 +117,16 @@ def test_hot_group_with_clumps_matches_brute_force(spark):
         res = knn(df.select(*D, *C), D, C, k, target=target, clump_limit=limit)
         assert spark_lists(spark, df, res) == brute(df.collect(), k), (k, limit)
         assert res.rounds >= 1
+
+
+def test_hot_point_rows_join_broadcast_side(spark):
+    # one attribute vector holds most rows: it goes through the broadcast side
+    data = [(i, "h", 1, 1, 30.0, 700.0, 70.0) for i in range(3000)] + \
+           [(10_000 + i, f"n{i}", i % 4, 2, 20.0 + i, 500.0 + i, 10.0 * i) for i in range(30)]
+    df = _rows(spark, data)
+    syn = synthetic_rows(df, SmoteSpec(D, C, 5, 3, 7))
+    assert syn.count() == 2 * len(data)
+    hot = syn.where(F.col("parent_id") < 3000)
+    assert hot.where(F.col("age") != 30.0).count() == 0
+    res = knn(df.select(*D, *C), D, C, 5)
+    assert row_neighbours(df, "id", res, D, C).count() == 5 * len(data)
