@@ -42,6 +42,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rentrisk.operators.skew import join_split_hot
 from rentrisk.session import materialize
 
 MAX_GRID = 1 << 30
@@ -138,7 +139,7 @@ def cont_distance2(p: dict, q: dict, continuous: list[str], stats: dict) -> Colu
     return cont if cont is not None else F.lit(0.0)
 
 
-def strata_frame(pts: DataFrame, discrete: list[str]) -> DataFrame:
+def strata_frame(pts: DataFrame, discrete: list[str], n_points: int) -> DataFrame:
     """Every point once per discrete subset S (bit mask), with its S-key ``_k*`` and group size ``_gn``."""
     D = len(discrete)
     x = pts.select("*", F.explode(F.array(*[F.lit(m) for m in range(1 << D)])).alias("_mask"))
@@ -148,9 +149,8 @@ def strata_frame(pts: DataFrame, discrete: list[str]) -> DataFrame:
     kcols = ["_mask"] + [f"_k{i}" for i in range(D)]
     sizes = x.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_gn"))
     sizes = sizes.select(*[F.col(c).alias(f"_s{c}") for c in kcols], "_gn")
-    # skewed keys (the S = {} group holds everything) are split by AQE's skew join
-    cond = [x["_mask"] == sizes["_s_mask"]] + [x[f"_k{i}"].eqNullSafe(sizes[f"_s_k{i}"]) for i in range(D)]
-    return x.join(sizes, cond).drop(*[f"_s{c}" for c in kcols])
+    # the S = {} group holds every point: hot keys are joined from a broadcast
+    return join_split_hot(x, sizes, kcols, [f"_s{c}" for c in kcols], "_gn", n_points * (1 << D))
 
 
 def _grid(continuous: list[str], target: float, level: int) -> Column:
@@ -176,7 +176,7 @@ def exact_rounds(pts: DataFrame, pending: DataFrame, discrete: list[str], contin
     attrs = discrete + continuous
     target = target or max(16.0, 2.0 * k_eff)
     limit = clump_limit or max(64, 4 * k_eff)
-    strata = materialize(strata_frame(pts, discrete), "knn-strata")
+    strata = materialize(strata_frame(pts, discrete, pts.count()), "knn-strata")
     parts = []
     rounds = 0
     while not pending.isEmpty():
@@ -291,33 +291,13 @@ def row_neighbours(rows: DataFrame, id_col: str, res: KnnResult, discrete: list[
                     *[F.col(f"nb_{a}") for a in attrs], F.col("_d2").alias("d2"))
 
 
-HOT_SHARE = 1000
-
-
 def attach_points(rows: DataFrame, points: DataFrame, attrs: list[str], n_rows: int) -> DataFrame:
     """Join rows to their point (one row per attribute vector, weight ``_w``) on the attributes.
 
-    A point with more than n/HOT_SHARE copies would make one join task take all
-    its rows. There are fewer than HOT_SHARE such points (weights sum to n), so
-    they are broadcast and joined map-side; their rows are removed from the
-    shuffled join of the rest by a broadcast anti-join before the exchange.
+    A point with very many copies is a hot key: see ``operators.skew``.
     """
-    hot_min = max(1, n_rows // HOT_SHARE)
-    ren = [F.col(a).alias(f"_pt_{a}") for a in attrs]
-    others = [c for c in points.columns if c not in attrs]
-    pt = points.select(*ren, *others)
-    hot = F.broadcast(pt.where(F.col("_w") > hot_min))
-    cold = pt.where(F.col("_w") <= hot_min)
-
-    def cond(p):
-        return [rows[a].eqNullSafe(p[f"_pt_{a}"]) for a in attrs]
-
-    hot_keys = F.broadcast(pt.where(F.col("_w") > hot_min).select(*[f"_pt_{a}" for a in attrs]))
-    rest = rows.join(hot_keys, cond(hot_keys), "left_anti")
-    out_cols = rows.columns + [c for c in others if c not in rows.columns]
-    a = rows.join(hot, cond(hot)).select(*out_cols)
-    b = rest.join(cold, cond(cold)).select(*out_cols)
-    return a.unionByName(b)
+    pt = points.select(*[F.col(a).alias(f"_pt_{a}") for a in attrs], *[c for c in points.columns if c not in attrs])
+    return join_split_hot(rows, pt, attrs, [f"_pt_{a}" for a in attrs], "_w", n_rows)
 
 
 def neighbour_arrays(res: KnnResult, attrs: list[str]) -> DataFrame:

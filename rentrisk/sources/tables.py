@@ -32,7 +32,7 @@ class Table:
     bucket_col: str | None = None
     num_buckets: int = 16
     sort_col: str | None = None
-    files_per_bucket: int = 1
+    files_per_bucket: int | None = None
     num_files: int | None = None
     extra: dict = field(default_factory=dict)
 
@@ -55,8 +55,14 @@ class Table:
         out = df.select(*[F.col(c).cast(self.schema[c].dataType) for c in cols], F.lit(ds).alias(PARTITION_COL))
         if self.bucket_col:
             # Hash partitioning on the bucket column with a multiple of the bucket
-            # count puts each bucket's rows in whole tasks: one file per task.
-            out = out.repartition(self.num_buckets * max(1, self.files_per_bucket), self.bucket_col)
+            # count puts each bucket's rows in whole tasks: one file per task. By
+            # default the multiple follows the session's shuffle parallelism, so a
+            # large write is not funnelled through num_buckets tasks.
+            per = self.files_per_bucket
+            if per is None:
+                sp = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+                per = max(1, sp // self.num_buckets)
+            out = out.repartition(self.num_buckets * per, self.bucket_col)
         elif self.num_files:
             out = out.repartition(self.num_files)
         return out
@@ -111,7 +117,7 @@ def train_schema() -> T.StructType:
         "is_syn boolean")
 
 
-def payment_table(name: str, path: str, num_buckets: int = 16, files_per_bucket: int = 1) -> Table:
+def payment_table(name: str, path: str, num_buckets: int = 16, files_per_bucket: int | None = None) -> Table:
     """The ``payment`` table: partitioned by ds, bucketed by id, sorted by payment_date."""
     return Table(name=name, path=path, schema=payment_schema(), bucket_col="id", sort_col="payment_date",
                  num_buckets=num_buckets, files_per_bucket=files_per_bucket)
