@@ -167,7 +167,8 @@ def q_test_split(spark, sf_dir):
 
 
 CLASS_COUNTS_SQL = f"""
-select count_if(default_amount = 0) as majority, count_if(default_amount <> 0) as minority
+select cast(count_if(default_amount = 0) as bigint) as majority,
+       cast(count_if(default_amount <> 0) as bigint) as minority
 from {PAYMENTS} where id < {CUT_SQL}"""
 
 
@@ -409,7 +410,7 @@ def q_string_index(spark, sf_dir):
 
 
 @register("one_hot_long", f"""
-select id, 'name_1hot' as feature, cast(i.name_index as bigint) as slot, 1.0 as value
+select id, 'name_1hot' as feature, cast(i.name_index as bigint) as slot, cast(1 as double) as value
 from {TRAIN_ROWS_SQL} t join {NAME_INDEX_SQL} i using (name)
 union all select id, 'house_id_1hot', cast(house_id as bigint), 1.0 from {TRAIN_ROWS_SQL}
 union all select id, 'house_zip_1hot', cast(house_zip as bigint), 1.0 from {TRAIN_ROWS_SQL}""")
@@ -420,8 +421,8 @@ def q_one_hot_long(spark, sf_dir):
 
 
 @register("age_buckets", f"""
-select id, age, case when age < 0 then 0.0 when age < 20 then 1.0 when age < 30 then 2.0 when age < 40 then 3.0
-                     when age < 50 then 4.0 when age < 60 then 5.0 else 6.0 end as age_buckets
+select id, age, cast(case when age < 0 then 0 when age < 20 then 1 when age < 30 then 2 when age < 40 then 3
+                          when age < 50 then 4 when age < 60 then 5 else 6 end as double) as age_buckets
 from {TRAIN_ROWS_SQL}""")
 def q_age_buckets(spark, sf_dir):
     return FE.age_buckets().transform(model_train_rows(spark, sf_dir)).select("id", "age", "age_buckets")
@@ -457,7 +458,7 @@ LASSO_REGS = [0.1, 1.0, 20.0]
 with s as (select avg(rent_amount) as mx, avg(default_amount) as my, stddev_pop(rent_amount) as sx,
                   stddev_pop(default_amount) as sy, corr(rent_amount, default_amount) as r
            from {PAYMENTS} where id < {CUT_SQL}),
-g as (select unnest([{', '.join(str(x) for x in LASSO_REGS)}]) as reg_param),
+g as (select cast(unnest([{', '.join(str(x) for x in LASSO_REGS)}]) as double) as reg_param),
 b as (select reg_param, sign(r) * greatest(abs(r) - reg_param / sy, 0) * sy / sx as coefficient, mx, my from s, g)
 select reg_param, round(coefficient, 6) as coefficient, round(my - coefficient * mx, 6) as intercept from b""")
 def q_lasso_one_feature(spark, sf_dir):

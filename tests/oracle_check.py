@@ -47,6 +47,11 @@ def compare(spark, sf_dir, name, query, sql):
     d_rows = [{c: (None if (not isinstance(v, (list, tuple)) and pd.isna(v)) else v) for c, v in r.items()}
               for r in d_df.to_dict("records")]
     assert s_cols == d_cols, f"{name}: columns {s_cols} vs {d_cols}"
+    duck_types = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+                  "BOOLEAN": "boolean"}
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    d_types = {c: duck_types.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert s_types == d_types, f"{name}: types {s_types} vs {d_types}"
     assert len(s_rows) == len(d_rows), f"{name}: rows {len(s_rows)} vs {len(d_rows)}"
     a, b = rows(s_rows, s_cols), rows(d_rows, d_cols)
     diffs = [(x, y) for x, y in zip(a, b) if x != y]
