@@ -36,7 +36,6 @@ rounds do not grow the lineage and survive executor loss.
 from __future__ import annotations
 
 import itertools
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -250,7 +249,7 @@ def _round(strata, pending, discrete, continuous, stats, k_eff, target, level, l
     return top_k(j, attrs, k_eff)
 
 
-def top_k(cand: DataFrame, attrs: list[str], k_eff: int) -> DataFrame:
+def top_k(cand: DataFrame, attrs: list[str], k_eff: int, keep: list[str] | None = None) -> DataFrame:
     """Per point: the first k slots of its candidates ordered by (d2, attributes), weights expanded.
 
     ``cand`` has p_pid, p_w, q_w, q_<attr>, _d2 and optionally _ok (counts as a
@@ -278,7 +277,7 @@ def top_k(cand: DataFrame, attrs: list[str], k_eff: int) -> DataFrame:
     return r.where("_kept").select(
         F.col("p_pid").alias("_pid"), F.col("_before").cast("bigint").alias("_slot"),
         F.least(F.col("q_w"), F.lit(k_eff) - F.col("_before")).cast("bigint").alias("_take"),
-        *[F.col(f"q_{a}").alias(f"nb_{a}") for a in attrs], "_d2", "_done")
+        *[F.col(f"q_{a}").alias(f"nb_{a}") for a in attrs], "_d2", "_done", *(keep or []))
 
 
 def row_neighbours(rows: DataFrame, id_col: str, res: KnnResult, discrete: list[str],

@@ -1,54 +1,76 @@
 """Approximate kNN by locality-sensitive hashing with an exact fallback (L4, scale mode).
 
-Candidates are the pairs that share a bucket in any of ``num_tables`` random
-projections of the scaled continuous attributes (``BucketedRandomProjectionLSH``,
-as the reference does); their true distance (including discrete mismatches) ranks
-them. Points whose candidates hold fewer than k neighbours are not cut short: they
-go through the exact search of ``rentrisk.operators.knn``.
-
-Identical rows are collapsed to weighted points first, so duplicates never form
-a large bucket of pairs. The bucket length is in scaled units (attributes in [0, 1]).
+Candidates are the points that share a bucket with the query in any of
+``num_tables`` random projections of the scaled continuous attributes
+(``BucketedRandomProjectionLSH``, as the reference does); their true distance
+(including discrete mismatches) ranks them.
+
+A bucket is never expanded into all its pairs: each bucket keeps at most
+``bucket_limit`` members (a window group limit applied map-side), a pair is kept
+only from the first table where it collides (no de-duplicating shuffle), and a
+point that touched a cut bucket -- or whose candidates hold fewer than k
+neighbours -- is answered by the exact search of ``rentrisk.operators.knn``
+instead. Identical rows are collapsed to weighted points first.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentrisk.session import materialize
 from rentrisk.operators.knn import (KnnResult, _no_entries, distance2, exact_rounds, prepare_points,
                                     self_entries, top_k)
+from rentrisk.session import materialize
 
 
 def knn_lsh(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
-            bucket_length: float | None = None, num_tables: int = 2, seed: int = 0) -> KnnResult:
+            bucket_length: float | None = None, num_tables: int = 2, seed: int = 0,
+            bucket_limit: int | None = None) -> KnnResult:
     attrs = discrete + continuous
     pts, stats, n, k_eff = prepare_points(rows, discrete, continuous, k)
     if k_eff == 0:
         return KnnResult(pts, _no_entries(pts, attrs), 0, n, 0)
     C = len(continuous)
+    n_pts = max(1, pts.count())
     if bucket_length is None:
-        n_pts = max(1, pts.count())
         bucket_length = min(1.0, max(1e-3, 2.0 * (k_eff / n_pts) ** (1.0 / max(C, 1))))
+    limit = bucket_limit or max(256, 16 * k_eff)
     zc = [f"_z_{c}" for c in continuous]
     pv = VectorAssembler(inputCols=zc, outputCol="_v").transform(pts)
     model = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_hashes", bucketLength=bucket_length,
                                         numHashTables=num_tables, seed=seed).fit(pv)
-    # every same-bucket pair: the threshold is the diameter of the unit cube
-    pairs = model.approxSimilarityJoin(pv, pv, math.sqrt(max(C, 1)) * 1.000001 + 1e-9, distCol="_cd")
-    a, b = F.col("datasetA"), F.col("datasetB")
-    cand = pairs.select(a["_pid"].alias("p_pid"), a["_w"].alias("p_w"), b["_pid"].alias("q_pid"),
-                        b["_w"].alias("q_w"), *[a[x].alias(f"p_{x}") for x in attrs],
-                        *[b[x].alias(f"q_{x}") for x in attrs]).where(F.col("p_pid") != F.col("q_pid"))
+    hashed = model.transform(pv).select(
+        "_pid", *attrs, "_w",
+        F.transform("_hashes", lambda v: vector_to_array(v)[0]).alias("_hs"))
+    # hashes come back as one-element vectors; flattened once and written out
+    hashed = materialize(hashed, "lsh-hashes")
+    exploded = hashed.select("*", F.posexplode("_hs").alias("_t", "_hb"))
+
+    bucket = Window.partitionBy("_t", "_hb")
+    d = (exploded.withColumn("_rn", F.row_number().over(bucket.orderBy("_pid")))
+         .where(F.col("_rn") <= limit + 1)
+         .withColumn("_cap", F.max("_rn").over(bucket) > limit)
+         .where(F.col("_rn") <= limit))
+    data = d.select("_t", "_hb", F.col("_pid").alias("q_pid"), F.col("_w").alias("q_w"),
+                    F.col("_hs").alias("q_hs"), "_cap", *[F.col(a).alias(f"q_{a}") for a in attrs])
+    q = exploded.select("_t", "_hb", F.col("_pid").alias("p_pid"), F.col("_w").alias("p_w"),
+                        F.col("_hs").alias("p_hs"), *[F.col(a).alias(f"p_{a}") for a in attrs])
+    j = q.join(data, ["_t", "_hb"])
+    # the first table in which the pair collides owns it
+    first = F.array_position(F.zip_with("p_hs", "q_hs", lambda a, b: a == b), True) - 1
     pc = {x: F.col(f"p_{x}") for x in attrs}
     qc = {x: F.col(f"q_{x}") for x in attrs}
-    cand = cand.withColumn("_d2", distance2(pc, qc, discrete, continuous, stats))
-    ranked = materialize(top_k(cand, attrs, k_eff), "lsh-candidates")
-    approx = ranked.where("_done").drop("_done")
-    done = ranked.where("_done").select("_pid").distinct()
+    unsure = F.max(F.col("_cap").cast("int")).over(Window.partitionBy("p_pid"))
+    cand = (j.withColumn("_unsure", unsure)
+            .where((F.col("p_pid") != F.col("q_pid")) & (F.col("_t") == first))
+            .withColumn("_d2", distance2(pc, qc, discrete, continuous, stats)))
+    ranked = materialize(top_k(cand.withColumn("_ok", F.lit(True)), attrs, k_eff, keep=["_unsure"]),
+                         "lsh-candidates")
+    good = ranked.where(F.col("_done") & (F.col("_unsure") == 0))
+    approx = good.drop("_done", "_unsure")
+    done = good.select("_pid").distinct()
     pending = pts.where(F.col("_w") - 1 < k_eff).join(done, "_pid", "left_anti")
     exact, rounds = exact_rounds(pts, pending, discrete, continuous, stats, k_eff)
     entries = self_entries(pts, attrs, k_eff).unionByName(approx).unionByName(exact)

@@ -6,7 +6,6 @@ whole tables; the matching SQL runs in DuckDB on the same parquet files.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from rentrisk.plans.clean import PAYMENT_COLUMNS, clean_payments, rejected_rows
 from rentrisk.sources.delimited import RAW_SCHEMA

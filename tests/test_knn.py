@@ -1,6 +1,5 @@
 """kNN and SMOTE properties and edge cases."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from rentrisk.operators.knn import knn, row_neighbours
@@ -19,7 +18,6 @@ def _rows(spark, data):
 
 def brute(rows, k):
     """Row-level neighbour attribute lists by brute force in Python."""
-    import math
     rs = [r.asDict() for r in rows]
     rng = {c: (max(r[c] for r in rs) - min(r[c] for r in rs)) for c in C}
     out = {}
@@ -130,3 +128,12 @@ def test_hot_point_rows_join_broadcast_side(spark):
     assert hot.where(F.col("age") != 30.0).count() == 0
     res = knn(df.select(*D, *C), D, C, 5)
     assert row_neighbours(df, "id", res, D, C).count() == 5 * len(data)
+
+
+def test_lsh_cut_buckets_fall_back_to_exact(spark):
+    # many distinct points at one continuous value share every LSH bucket
+    data = [(i, f"t{i:03d}", i % 3, 1, 30.0, 900.0, 90.0) for i in range(80)] + \
+           [(500 + i, f"o{i}", 9, 2, 20.0 + i, 500.0 + 9 * i, 5.0 * i) for i in range(20)]
+    df = _rows(spark, data)
+    res = knn_lsh(df.select(*D, *C), D, C, 6, bucket_limit=5, seed=3)
+    assert spark_lists(spark, df, res) == brute(df.collect(), 6)

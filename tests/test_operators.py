@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from rentrisk.operators import split as S
 from rentrisk.operators.features import age_buckets
