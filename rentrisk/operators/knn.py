@@ -126,8 +126,10 @@ def knn(rows: DataFrame, discrete: list[str], continuous: list[str], k: int,
 
 
 def _no_entries(pts: DataFrame, attrs: list[str]) -> DataFrame:
-    return pts.select("_pid", F.lit(0).cast("bigint").alias("_slot"), F.lit(0).cast("bigint").alias("_take"),
-                      *[F.col(a).alias(f"nb_{a}") for a in attrs], F.lit(0.0).alias("_d2")).limit(0)
+    """An empty entries frame with the right schema."""
+    shape = pts.select("_pid", F.lit(0).cast("bigint").alias("_slot"), F.lit(0).cast("bigint").alias("_take"),
+                       *[F.col(a).alias(f"nb_{a}") for a in attrs], F.lit(0.0).alias("_d2"))
+    return pts.sparkSession.createDataFrame([], shape.schema)
 
 
 def cont_distance2(p: dict, q: dict, continuous: list[str], stats: dict) -> Column:

@@ -39,7 +39,8 @@ def synthetic_rows(sample: DataFrame, spec: SmoteSpec, res: KnnResult | None = N
     """Synthetic rows: (parent id, copy r, attributes...). ``sample`` holds id + attributes."""
     attrs = spec.discrete + spec.continuous
     if spec.multiplier is None or spec.multiplier < 2:
-        return sample.select(F.col(spec.id_col).alias("parent_id"), F.lit(0).alias("copy"), *attrs).limit(0)
+        shape = sample.select(F.col(spec.id_col).alias("parent_id"), F.lit(0).alias("copy"), *attrs)
+        return sample.sparkSession.createDataFrame([], shape.schema)
     if res is None:
         res = knn(sample.select(*attrs), spec.discrete, spec.continuous, spec.k)
     pts = res.points.select("_pid", *attrs, "_w")
