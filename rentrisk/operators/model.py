@@ -38,7 +38,12 @@ def cross_validator(reg_params=REG_PARAMS, num_folds: int = NUM_FOLDS, paralleli
 
 def fit(train: DataFrame, cv: CrossValidator | None = None, seed: int = FOLD_SEED) -> CrossValidatorModel:
     cv = cv or cross_validator(seed=seed)
-    data = add_folds(train, seed, cv.getNumFolds()).persist()
+    data = add_folds(train, seed, cv.getNumFolds())
+    # every CV pass scans this frame: give each core a partition if it has fewer
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < cores:
+        data = data.repartition(cores)
+    data = data.persist()
     try:
         return cv.fit(data)
     finally:
