@@ -38,6 +38,7 @@ class Table:
 
     # ---------------------------------------------------------------- DDL
     def create(self, spark: SparkSession) -> "Table":
+        _mkdirs(spark, self.path)
         cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in self.schema.fields
                          if f.name != PARTITION_COL)
         clustered = ""
@@ -93,6 +94,13 @@ class Table:
         return spark.sql(f"SHOW PARTITIONS {self.name}")
 
 
+def _mkdirs(spark: SparkSession, path: str) -> None:
+    """Create the table location up front (Spark otherwise logs a missing-path trace)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def write_report(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
     """Append report rows to a path (one small file per write)."""
     df.coalesce(1).write.mode(mode).format(fmt).save(path)
