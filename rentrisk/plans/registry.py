@@ -479,10 +479,23 @@ def _train_table(spark, sf_dir):
     return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
 
 
+_FITTED: dict = {}
+
+
 def _fitted(spark, sf_dir):
+    """Fit once per application and data set; later queries reload the saved model."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _FITTED:
+        path, report_path = _FITTED[key]
+        cvm = M.load(path)
+        return cvm, path, spark.read.parquet(report_path)
     from rentrisk.plans.train import train_flow
     train = materialize(_train_table(spark, sf_dir), "train")
-    return train_flow(spark, train, scratch_path(spark, "model/reg_lasso_r2"), suffix="fixed")
+    report_path = scratch_path(spark, "validation")
+    cvm, path, report = train_flow(spark, train, scratch_path(spark, "model/reg_lasso_r2"), report_path,
+                                   suffix="fixed")
+    _FITTED[key] = (path, report_path)
+    return cvm, path, spark.read.parquet(report_path)
 
 
 @register("lasso_cv_report")
