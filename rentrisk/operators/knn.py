@@ -177,6 +177,8 @@ def exact_rounds(pts: DataFrame, pending: DataFrame, discrete: list[str], contin
     attrs = discrete + continuous
     target = target or max(16.0, 2.0 * k_eff)
     limit = clump_limit or max(64, 4 * k_eff)
+    if pending.isEmpty():
+        return _no_entries(pts, attrs), 0
     strata = materialize(strata_frame(pts, discrete, pts.count()), "knn-strata")
     parts = []
     rounds = 0
