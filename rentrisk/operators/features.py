@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
@@ -20,6 +20,9 @@ AGE_SPLITS = [float("-inf"), 0.0, 20.0, 30.0, 40.0, 50.0, 60.0, float("inf")]
 ONE_HOT_INPUTS = ["name_index", "house_id", "house_zip"]
 ONE_HOT_OUTPUTS = ["name_1hot", "house_id_1hot", "house_zip_1hot"]
 ASSEMBLED = ["name_1hot", "house_id_1hot", "house_zip_1hot", "age_buckets", "rent_amount"]
+CATEGORICAL = ["name", "house_id", "house_zip"]
+# Fixed hashed width: the solver's cost grows with the width, not with the rows.
+HASHED_WIDTH = 1 << 16
 
 
 def name_indexer() -> StringIndexer:
@@ -44,12 +47,29 @@ def lasso(max_iter: int = 3, solver: str = "auto") -> LinearRegression:
                             solver=solver)
 
 
-def feature_stages() -> list:
-    return [name_indexer(), one_hot(), age_buckets(), assembler()]
+def hashed_categories(width: int = HASHED_WIDTH) -> FeatureHasher:
+    """Scale alternative to index + one-hot: one hashed slot per (column, value), fixed width.
 
+    StringIndexer keeps every distinct name on the driver and the one-hot widths
+    grow with the data (names, max house id); hashing keeps both bounded.
+    """
+    return FeatureHasher(inputCols=CATEGORICAL, categoricalCols=CATEGORICAL, outputCol="categories",
+                         numFeatures=width)
 
-def pipeline(estimator: LinearRegression | None = None) -> Pipeline:
-    return Pipeline(stages=feature_stages() + [estimator or lasso()])
+
+def feature_stages(encoding: str = "index", width: int = HASHED_WIDTH) -> list:
+    """``index``: the reference's StringIndexer + OneHotEncoder; ``hash``: FeatureHasher."""
+    if encoding == "index":
+        return [name_indexer(), one_hot(), age_buckets(), assembler()]
+    if encoding == "hash":
+        return [hashed_categories(width), age_buckets(),
+                VectorAssembler(inputCols=["categories", "age_buckets", "rent_amount"], outputCol="features")]
+    raise ValueError("encoding must be 'index' or 'hash'")
+
+
+def pipeline(estimator: LinearRegression | None = None, encoding: str = "index",
+             width: int = HASHED_WIDTH) -> Pipeline:
+    return Pipeline(stages=feature_stages(encoding, width) + [estimator or lasso()])
 
 
 def _long_batches(id_col: str, vec_cols: list[str]):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentrisk.functions.hashing import hash32
-from rentrisk.operators.features import lasso, pipeline
+from rentrisk.operators.features import HASHED_WIDTH, lasso, pipeline
 
 # Fixed values of the reference's validator.
 REG_PARAMS = [1.0, 0.1]
@@ -28,10 +28,12 @@ def add_folds(df: DataFrame, seed: int = FOLD_SEED, num_folds: int = NUM_FOLDS,
 
 
 def cross_validator(reg_params=REG_PARAMS, num_folds: int = NUM_FOLDS, parallelism: int = PARALLELISM,
-                    max_iter: int = 3, seed: int = FOLD_SEED) -> CrossValidator:
+                    max_iter: int = 3, seed: int = FOLD_SEED, encoding: str = "index",
+                    width: int = HASHED_WIDTH) -> CrossValidator:
+    """The reference's validator; ``encoding='hash'`` swaps index + one-hot for feature hashing."""
     est = lasso(max_iter=max_iter)
     grid = ParamGridBuilder().addGrid(est.regParam, list(reg_params)).build()
-    return CrossValidator(estimator=pipeline(est), estimatorParamMaps=grid,
+    return CrossValidator(estimator=pipeline(est, encoding, width), estimatorParamMaps=grid,
                           evaluator=RegressionEvaluator(metricName="r2"), numFolds=num_folds,
                           parallelism=parallelism, seed=seed, foldCol="fold")
 

@@ -30,8 +30,9 @@ def sample_job(spark: SparkSession, payment: Table, train: Table, ds: str, test_
 
 
 def train_job(spark: SparkSession, train: Table, ds: str, model_prefix: str, report_path: str,
-              suffix: str | None = None):
-    return train_flow(spark, train.scan(spark, ds), model_prefix, report_path, suffix=suffix)
+              suffix: str | None = None, **cv_kw):
+    """``cv_kw`` go to ``model.cross_validator`` (e.g. ``encoding='hash'`` at large scale)."""
+    return train_flow(spark, train.scan(spark, ds), model_prefix, report_path, suffix=suffix, **cv_kw)
 
 
 def test_job(spark: SparkSession, payment: Table, ds: str, test_set_first_id: int, model_path: str,

@@ -87,3 +87,15 @@ def test_model_save_load_same_predictions(spark):
     assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b)
     best = M.best_params(M.candidates(spark, cvm)).first()
     assert best.avg_metric == max(cvm.avgMetrics)
+
+
+def test_hashed_encoding_cv(spark):
+    from rentrisk.operators import model as M
+    rows = [(float((i * 37) % 200 if i % 9 == 0 else 0), f"n{i % 40}", 20 + i % 50, i % 12, 100 + i % 7,
+             500 + (i * 13) % 900, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "label double, name string, age int, house_id int, house_zip int, "
+                                     "rent_amount int, id long")
+    cvm = M.fit(df, M.cross_validator(encoding="hash", width=1 << 12))
+    assert len(cvm.avgMetrics) == 2
+    out = M.score(cvm, df)
+    assert out.first().features.size == (1 << 12) + 2
