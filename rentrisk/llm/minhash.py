@@ -5,9 +5,11 @@
 2. A class has ``BANDS * ROWS`` minima. Of each minimum ``BITS`` low bits are kept, packed into
    long words; each band of ``ROWS`` whole minima gives a bucket key.
 3. In each bucket the members are compared with one centre (rounds of *stars*, each with another centre;
-   only members that are not yet in the centre's component), and at last every member with every
-   other that still is in another component. So a bucket of thousands of copies costs about its
-   size, and no pair of candidates is left out unless a chain of links joins it already.
+   only members that are not yet in the centre's component). So a bucket of thousands of copies costs about
+   its size. Members of buckets that still hold several components then go through an exact search:
+   sets of similarity t share one of their rarest (1 - t) n + 1 shingles, in any common order, so texts
+   whose rare shingles are all their own are certified without a pair, and the others meet on those shingles.
+   No pair of candidates is left out unless a chain of links joins it already.
 4. A candidate pair is tested against the collision-corrected estimate (equal bit groups, less those equal by
    chance), with a margin of ``MARGIN`` (six standard deviations), and the exact bound that
    set sizes give; what remains is confirmed on the full sets of both texts.
@@ -29,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rentrisk.llm.common import HASH_BASE, mix64, powers, random64, row_chunks, small_batches, utf8, word_bounds
 from rentrisk.session import materialize
@@ -139,15 +142,50 @@ def may_match(na: Column, nb: Column, a: Column, b: Column, percent: int) -> Col
     return sizes & (estimate(a, b) >= percent / 100 - MARGIN)
 
 
-def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str, width: int,
-            percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    nodes = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
+def texts_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
+    """``v, text`` of the representatives in ``nodes``, written once."""
     need = classes.join(nodes, "v", "left_semi").select("v", "fp")
     texts = (docs.select(F.col(key).alias("v"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("fp"),
                          F.col(text).alias("text"))
              .join(need, ["v", "fp"], "left_semi").groupBy("v", "fp").agg(F.min("text").alias("text")))
-    texts = materialize(texts.drop("fp"), "texts")
+    return materialize(texts.drop("fp"), "texts")
+
+
+def prefix_pairs(texts: DataFrame, labels: DataFrame, width: int, percent: int) -> DataFrame:
+    """All pairs (a, b) of different labels that may reach the similarity, and few others.
+
+    Of a set of n shingles, rarest first, one of the first n - ceil(t n) + 1 is in every set as similar as t.
+    Shingles of one text only need not be looked up: they take their share of those places.
+    """
+    kind = texts.schema["v"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = shingle_sets(*utf8(b.column(1)), width)
+            n = np.array([len(x) for x in sets], np.int64)
+            at = pa.array(np.repeat(np.arange(b.num_rows), n))
+            token = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(np.repeat(n, n)), pa.array(token)], ["v", "n", "token"])
+
+    tokens = texts.select("v", "text").mapInArrow(run, f"v {kind}, n long, token long")
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    own = Window.partitionBy("v")
+    places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("m"))
+    rare = (tokens.join(shared, "token").withColumn("m", F.count(F.lit(1)).over(own))
+            .withColumn("r", F.row_number().over(own.orderBy("c", "token"))).filter(F.col("r") <= places)
+            .join(labels, "v").select("token", "v", "label"))
+    rare = materialize(rare, "rare")
+    x = rare.select("token", F.col("v").alias("x"), F.col("label").alias("lx"))
+    y = rare.select("token", F.col("v").alias("y"), F.col("label").alias("ly"))
+    met = x.join(y, "token").filter(F.col("lx") < F.col("ly"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str, width: int,
+            percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
+    nodes = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
+    texts = texts_of(docs, classes, nodes, key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -225,12 +263,9 @@ def link(docs: DataFrame, classes: DataFrame, key: str, text: str, width: int, p
             pairs = left.join(centre, "bucket").filter("label <> cl").select(*ordered(F.col("v"), F.col("c"))).distinct()
             pairs = likely(pairs.join(tested, ["a", "b"], "left_anti"))
         else:
-            m = left.join(facts, "v")
-            x = m.select("bucket", F.col("v").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("sig").alias("sx"))
-            y = m.select("bucket", F.col("v").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), F.col("sig").alias("sy"))
-            near = may_match(F.col("nx"), F.col("ny"), F.col("sx"), F.col("sy"), percent)
-            pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("lx") < F.col("ly")) & near)
-            pairs = pairs.select(*ordered(F.col("x"), F.col("y"))).distinct().join(tested, ["a", "b"], "left_anti")
+            members = materialize(left.select("v", "label").distinct(), "open")
+            pairs = prefix_pairs(texts_of(docs, classes, members, key, text), members, width, percent)
+            pairs = likely(pairs.join(tested, ["a", "b"], "left_anti"))
         pairs = materialize(pairs, "pairs")
         if not pairs.head(1):
             continue
