@@ -1,10 +1,10 @@
 """Token ids of texts by a public tokenizer file, through the ``tokenizers`` library.
 
-The library cuts a text before it merges bytes: never inside a run of letters, and always between a
-character that is no white space and a space after it. So a text is cut there first, and each
-distinct piece goes to the library once; a worker keeps the ids of the pieces that it has met, up to
-``CACHE`` of them. The ids are those of the whole text. Strings of special tokens count as
-ordinary text.
+The library cuts a text by a pattern, and merges bytes within each part only. A text is cut first where the pattern
+always cuts: between a character that is no white space and a space after it. A piece that is one part, as
+most words are, is looked up; others are cut by the pattern, and their parts are looked up. Parts
+that the worker has not met yet go to the library's model; it keeps the ids of up to ``CACHE`` parts. The ids are
+those of the whole text. Strings of special tokens count as ordinary text.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 
 FILE = "byte_bpe_50k.json"
 END = 2
-CACHE = 400_000
+CACHE = 600_000
 
 _TWO_SPACES = re.compile(r"\s ")
 _CUT = re.compile(r"(?<!\s)(?= )")
@@ -26,17 +26,26 @@ def _path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself where it can be shown, else 256 and up."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Encodes batches of texts to little-endian unsigned 32-bit ids, in bytes."""
 
     _made: dict[str, Encoder] = {}
 
     def __init__(self, name: str):
-        import os
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(_path(name))
-        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.cut = regex.compile(public_tokenizers.PATTERN).findall
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -53,23 +62,29 @@ class Encoder:
         cut[1:] = [" " + x for x in cut[1:]]
         return cut
 
-    def learn(self, pieces: list[str]) -> None:
-        if not pieces:
-            return
-        e = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(e.ids, "<u4").tobytes()
-        ends = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(pieces) + 1))
-        for p, a, b in zip(pieces, (4 * ends[:-1]).tolist(), (4 * ends[1:]).tolist()):
-            self.known[p] = ids[a:b]
+    def part(self, part: str) -> bytes:
+        shown = part.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = set().union(*cut).difference(self.known) if cut else set()
-        self.learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        several = {}
+        for p in set().union(*cut).difference(known) if cut else ():
+            parts = self.cut(p)
+            for x in parts:
+                if x not in known:
+                    known[x] = self.part(x)
+            if len(parts) != 1:
+                several[p] = b"".join([known[x] for x in parts])
+        known.update(several)
+        get = known.__getitem__
+        out = [b"".join(map(get, c)) for c in cut]
+        for p in several:
+            del known[p]
+        return out
 
 
 def encode_batches(texts: list[str | None], name: str = FILE, end: int | None = END, group: int = 100):
