@@ -116,8 +116,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_
     q = usable(queries).filter(F.size("vec") == dim)
     n_rows = max(1, -(-n // BLOCK_ROWS))
     n_queries = max(1, -(-q.count() // BLOCK_QUERIES))
-    block = lambda parts: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(parts))
-    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long")
+    block = lambda parts: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(parts).cast("long"))
+    every = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
     left = r.select("*", block(n_rows).alias("rb")).select("*", every(n_queries).alias("qb"))
     right = q.select("*", block(n_queries).alias("qb")).select("*", every(n_rows).alias("rb"))
 
