@@ -227,7 +227,8 @@ def _slots(ranges: DataFrame, by_source: DataFrame, block: int, seed: int) -> Da
                                                       block)})
 
     n_blocks = F.ceil(F.col("source_size") / block)
-    rows = (ranges.repartition("shard", "sid").join(F.broadcast(by_source.drop("name", "target")), "sid")
+    parts = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (ranges.repartition(parts).join(F.broadcast(by_source.drop("name", "target")), "sid")
             .select("*", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
             .select("shard", "sid", "slot", "n_slots", "last_words", n_blocks.alias("n"),
                     F.floor(F.col("slot") / n_blocks).alias("turn"), (F.col("slot") % n_blocks).alias("place")))
