@@ -108,7 +108,8 @@ def write_records(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records/shard=*")
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+            .option("recursiveFileLookup", "true").load(f"{path}/records")
             .select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("int").alias("shard"), "content"))
 
 
