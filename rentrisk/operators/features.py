@@ -8,18 +8,19 @@ of the non-zero entries, which SQL can check.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Bucketizer, FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Age bucket boundaries (lower bound inclusive).
 AGE_SPLITS = [float("-inf"), 0.0, 20.0, 30.0, 40.0, 50.0, 60.0, float("inf")]
+# Column names of the stages.
 ONE_HOT_INPUTS = ["name_index", "house_id", "house_zip"]
 ONE_HOT_OUTPUTS = ["name_1hot", "house_id_1hot", "house_zip_1hot"]
 ASSEMBLED = ["name_1hot", "house_id_1hot", "house_zip_1hot", "age_buckets", "rent_amount"]
+ENTRY = "array<struct<feature:string,slot:bigint,value:double>>"
 CATEGORICAL = ["name", "house_id", "house_zip"]
 # Fixed hashed width: the solver's cost grows with the width, not with the rows.
 HASHED_WIDTH = 1 << 16
@@ -72,33 +73,17 @@ def pipeline(estimator: LinearRegression | None = None, encoding: str = "index",
     return Pipeline(stages=feature_stages(encoding, width) + [estimator or lasso()])
 
 
-def _long_batches(id_col: str, vec_cols: list[str]):
-    def run(it):
-        for pdf in it:
-            ids, names, slots, vals = [], [], [], []
-            for vc in vec_cols:
-                for i, v in zip(pdf[id_col].to_numpy(), pdf[vc]):
-                    if v is None:
-                        continue
-                    if v["type"] == 0:
-                        ix = np.asarray(v["indices"], dtype=np.int64)
-                        vs = np.asarray(v["values"], dtype=np.float64)
-                    else:
-                        vs = np.asarray(v["values"], dtype=np.float64)
-                        ix = np.arange(len(vs), dtype=np.int64)
-                    nz = vs != 0.0
-                    ix, vs = ix[nz], vs[nz]
-                    ids.append(np.full(len(ix), i, dtype=np.int64))
-                    names.append(np.full(len(ix), vc, dtype=object))
-                    slots.append(ix)
-                    vals.append(vs)
-            if ids:
-                yield pd.DataFrame({id_col: np.concatenate(ids), "feature": np.concatenate(names),
-                                    "slot": np.concatenate(slots), "value": np.concatenate(vals)})
-    return run
-
-
 def vector_long(df: DataFrame, id_col: str, vec_cols: list[str]) -> DataFrame:
     """(id, feature, slot, value) for every non-zero entry of the vector columns."""
-    return df.select(id_col, *vec_cols).mapInPandas(
-        _long_batches(id_col, vec_cols), f"{id_col} long, feature string, slot long, value double")
+    def entries(name: str):
+        v = F.unwrap_udt(F.col(name))
+        pair = lambda i, x: F.struct(i.cast("long").alias("slot"), x.alias("value"))
+        # type 0 is sparse
+        found = F.when(v["type"] == 0, F.zip_with(v["indices"], v["values"], pair)).otherwise(
+            F.transform(v["values"], lambda x, i: pair(i, x)))
+        return F.transform(F.filter(found, lambda e: e["value"] != 0), lambda e: F.struct(
+            F.lit(name).alias("feature"), e["slot"].alias("slot"), e["value"].alias("value")))
+
+    rows = df.select(F.col(id_col).cast("long").alias(id_col),
+                     F.explode(F.concat(*[F.coalesce(entries(c), F.array().cast(ENTRY)) for c in vec_cols])).alias("_e"))
+    return rows.select(id_col, "_e.feature", "_e.slot", "_e.value")

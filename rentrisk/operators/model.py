@@ -62,6 +62,12 @@ def candidates(spark: SparkSession, cvm: CrossValidatorModel) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def best_index(cvm: CrossValidatorModel) -> int:
+    """Place of the best candidate, by the direction of the model's own evaluator."""
+    sign = 1 if cvm.getEvaluator().isLargerBetter() else -1
+    return max(range(len(cvm.avgMetrics)), key=lambda j: sign * cvm.avgMetrics[j])
+
+
 def best_params(cands: DataFrame, larger_is_better: bool = True) -> DataFrame:
     """F2 / M4: argmax (or argmin) of the metric over candidates."""
     pick = F.max_by if larger_is_better else F.min_by
@@ -72,11 +78,11 @@ def best_params(cands: DataFrame, larger_is_better: bool = True) -> DataFrame:
 def validation_report(spark: SparkSession, cvm: CrossValidatorModel, model_path: str) -> DataFrame:
     """M5: (model, result, best_params) -- the ``validation`` table row."""
     metrics = list(cvm.avgMetrics)
-    i = max(range(len(metrics)), key=lambda j: metrics[j]) if cvm.getEvaluator().isLargerBetter() \
-        else min(range(len(metrics)), key=lambda j: metrics[j])
-    best = {p.name: v for p, v in cvm.getEstimatorParamMaps()[i].items()}
+    best = {p.name: v for p, v in cvm.getEstimatorParamMaps()[best_index(cvm)].items()}
     maps = [{p.name: v for p, v in pm.items()} for pm in cvm.getEstimatorParamMaps()]
-    result = f"getEstimatorParamMaps={maps}\navgMetrics={', '.join(str(m) for m in metrics)}"
+    # The labels of the report's four parts.
+    result = (f"explainParams={cvm.explainParams()}\ngetEstimatorParamMaps={maps}\n"
+              f"avgMetrics={', '.join(str(m) for m in metrics)}\nbestModel={cvm.bestModel.stages[-1]}")
     schema = "model string, result string, best_params string"
     return spark.createDataFrame([(model_path, result, str(best))], schema)
 

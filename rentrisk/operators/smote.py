@@ -25,6 +25,10 @@ from rentrisk.functions.hashing import hash32, hash_unit
 from rentrisk.operators.knn import KnnResult, attach_points, knn, neighbour_arrays
 
 
+# Copies of one row made by one task at a time; results do not depend on it.
+COPY_CHUNK = 4096
+
+
 @dataclass
 class SmoteSpec:
     discrete: list[str]
@@ -35,6 +39,20 @@ class SmoteSpec:
     id_col: str = "id"
 
 
+def fan_out(rows: DataFrame, id_col: str, copies: int, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Rows times ``copy`` = 1..copies (L3). Many copies are dealt out in chunks first, so a few rows with a
+    large multiplier fill many tasks and no row makes an array longer than ``chunk``."""
+    if copies > chunk:
+        starts = F.explode(F.sequence(F.lit(1), F.lit(copies), F.lit(chunk))).alias("_from")
+        # a number is named, else the planner would merge these few rows into one task before they grow
+        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.select("*", starts).repartition(n, id_col, "_from")
+    else:
+        rows = rows.withColumn("_from", F.lit(1))
+    last = F.least(F.col("_from") + (chunk - 1), F.lit(copies))
+    return rows.select("*", F.explode(F.sequence(F.col("_from"), last)).alias("copy")).drop("_from")
+
+
 def synthetic_rows(sample: DataFrame, spec: SmoteSpec, res: KnnResult | None = None) -> DataFrame:
     """Synthetic rows: (parent id, copy r, attributes...). ``sample`` holds id + attributes."""
     attrs = spec.discrete + spec.continuous
@@ -52,7 +70,7 @@ def synthetic_rows(sample: DataFrame, spec: SmoteSpec, res: KnnResult | None = N
     rows = attach_points(sample.select(spec.id_col, *attrs), pts, attrs, res.n_rows)
     rid = F.col(spec.id_col)
     r = F.col("copy")
-    gen = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(spec.multiplier - 1))).alias("copy"))
+    gen = fan_out(rows, spec.id_col, spec.multiplier - 1)
     if res.k_eff > 0:
         u = hash32(spec.seed, rid, r, F.lit("u")) % F.lit(res.k_eff)
         gen = gen.withColumn("_u", u).withColumn(

@@ -9,15 +9,22 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rentrisk.plans.clean import DEFAULT_AS_OF, DEFAULT_DOB, clean_payments
+from rentrisk.plans.clean import DEFAULT_AS_OF, DEFAULT_DOB, clean_payments, rejected_rows
 from rentrisk.plans.sample import sample_train
 from rentrisk.plans.train import test_flow, train_flow
 from rentrisk.sources.tables import Table
 
 
 def clean_job(raw: DataFrame, payment: Table, ds: str, *, as_of: _dt.date = DEFAULT_AS_OF,
-              default_dob: str = DEFAULT_DOB, seed: int = 0, mode: str = "failfast") -> None:
+              default_dob: str = DEFAULT_DOB, seed: int = 0, mode: str = "failfast",
+              rejects: str | None = None) -> None:
+    """``mode='permissive'`` leaves unparseable rows out of the table and writes them, with reasons, to ``rejects``."""
+    if mode == "permissive":
+        if not rejects:
+            raise ValueError("permissive mode needs a path for the rejected rows")
+        rejected_rows(raw, default_dob).withColumn("ds", F.lit(ds)).write.mode("append").parquet(rejects)
     payment.overwrite(clean_payments(raw, as_of=as_of, default_dob=default_dob, seed=seed, mode=mode), ds)
 
 

@@ -281,9 +281,10 @@ SMOTE_ATTRS = SMOTE_DISCRETE + SMOTE_CONTINUOUS
 
 
 def smote_sample(spark, sf_dir) -> DataFrame:
-    """The minority rows of the train split, widened as the reference does before SMOTE."""
+    """The minority rows of the train split, widened before SMOTE; written once, as every search reads them often."""
     train = S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
-    return R.widen(S.minority(train).select("id", *SMOTE_ATTRS), ["house_id", "house_zip"], SMOTE_CONTINUOUS)
+    return materialize(R.widen(S.minority(train).select("id", *SMOTE_ATTRS), ["house_id", "house_zip"],
+                               SMOTE_CONTINUOUS), "minority")
 
 
 MINO_SQL = f"""
@@ -479,22 +480,12 @@ def _train_table(spark, sf_dir):
     return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
 
 
-_FITTED: dict = {}
-
-
 def _fitted(spark, sf_dir):
-    """Fit once per application and data set; later queries reload the saved model."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _FITTED:
-        path, report_path = _FITTED[key]
-        cvm = M.load(path)
-        return cvm, path, spark.read.parquet(report_path)
+    """Fit, save and report; every query that needs a model fits its own."""
     from rentrisk.plans.train import train_flow
     train = materialize(_train_table(spark, sf_dir), "train")
     report_path = scratch_path(spark, "validation")
-    cvm, path, report = train_flow(spark, train, scratch_path(spark, "model/reg_lasso_r2"), report_path,
-                                   suffix="fixed")
-    _FITTED[key] = (path, report_path)
+    cvm, path, _ = train_flow(spark, train, scratch_path(spark, "model/reg_lasso_r2"), report_path)
     return cvm, path, spark.read.parquet(report_path)
 
 
@@ -508,7 +499,7 @@ def q_lasso_cv_report(spark, sf_dir):
 @register("best_params")
 def q_best_params(spark, sf_dir):
     cvm, _, _ = _fitted(spark, sf_dir)
-    return M.best_params(M.candidates(spark, cvm))
+    return M.best_params(M.candidates(spark, cvm), cvm.getEvaluator().isLargerBetter())
 
 
 @register("score_test")

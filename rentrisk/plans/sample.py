@@ -14,6 +14,7 @@ from rentrisk.operators import split as S
 from rentrisk.operators.ids import dense_random_id
 from rentrisk.operators.setops import union_by_first
 from rentrisk.operators.smote import SmoteSpec, synthetic_rows
+from rentrisk.session import materialize
 
 DISCRETE = ["name", "house_id", "house_zip"]
 CONTINUOUS = ["age", "rent_amount", "default_amount"]
@@ -40,7 +41,8 @@ def synthetic_train_rows(train: DataFrame, k: int, seed: int, mode: str = "exact
     """Synthetic rows in train-table shape, keyed by (parent id, copy)."""
     m = multiplier if multiplier is not None else multiplier_of(train)
     spec = SmoteSpec(DISCRETE, CONTINUOUS, k, m or 0, seed)
-    sample = smote_sample(train)
+    # about one row in a hundred: written once, read by every pass of the neighbour search
+    sample = materialize(smote_sample(train), "minority")
     res = None
     if mode == "lsh":
         from rentrisk.operators.lsh import knn_lsh

@@ -49,7 +49,7 @@ def apply_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster configured.
 
-    Only when nothing is configured (local tests) a folder of our own is set.
+    A folder of our own is set only where nothing is configured and the master is one local process.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf_dir = sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="rentrisk-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from rentrisk.operators import split as S
 from rentrisk.operators.features import age_buckets
@@ -99,3 +100,33 @@ def test_hashed_encoding_cv(spark):
     assert len(cvm.avgMetrics) == 2
     out = M.score(cvm, df)
     assert out.first().features.size == (1 << 12) + 2
+
+
+def test_fan_out_in_chunks(spark):
+    from rentrisk.operators.smote import fan_out
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
+    out = fan_out(rows, "id", 10**6)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 2 * 10**6 and len(sizes) > 1
+    few = fan_out(rows, "id", 3, chunk=2)
+    assert sorted((r.id, r["copy"]) for r in few.collect()) == [(i, c) for i in (1, 2) for c in (1, 2, 3)]
+
+
+def test_permissive_clean_writes_rejects(spark):
+    from rentrisk.plans import jobs
+    from rentrisk.session import scratch_path
+    from rentrisk.sources.fixtures import derived_raw
+    from rentrisk.sources.tables import payment_table
+    from tests.conftest import SF001
+    raw = derived_raw(spark, SF001, with_key=False).limit(40)
+    raw = raw.withColumn("payment_date", F.when(F.col("payment_date") == raw.first()["payment_date"], "bad").otherwise(
+        F.col("payment_date"))).cache()
+    bad = raw.where("payment_date = 'bad'").count()
+    pay = payment_table(f"pay_{scratch_path(spark, 't').rsplit('-', 1)[1]}", scratch_path(spark, "pay")).create(spark)
+    with pytest.raises(ValueError):
+        jobs.clean_job(raw, pay, "20190101", mode="permissive")
+    path = scratch_path(spark, "rejects")
+    jobs.clean_job(raw, pay, "20190101", mode="permissive", rejects=path)
+    got = spark.read.parquet(path)
+    assert bad > 0 and got.count() == bad and pay.scan(spark, "20190101").count() == raw.count() - bad
+    assert {r.reason for r in got.collect()} == {"payment_date"}
