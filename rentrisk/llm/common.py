@@ -68,19 +68,19 @@ def scan_array(items: Column, step, kind: str, run: int = 256) -> Column:
 # ---- distributed running numbers
 
 def running_sum(df: DataFrame, group: list[str], key: list[Column], value: Column, name: str,
-                buckets: int = 4096) -> DataFrame:
+                buckets: int = 4096, ties: tuple[str, ...] = ()) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows of the same group that come before.
 
     The order is (hash bucket of ``key``, ``key``), so that a group with a third of all rows is
     spread over ``buckets`` tasks; only the sums per (group, bucket) are added up in one task per
-    group, and those are at most ``buckets`` rows. Ties of the whole key take any order.
+    group, and those are at most ``buckets`` rows. Rows of one key follow each other, ordered by ``ties``.
     """
     b = df.withColumn("_b", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")).withColumn("_v", value)
     sums = b.groupBy(*group, "_b").agg(F.sum("_v").alias("_s"))
     before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_b").alias("_bb"),
                        F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy(*group, "_b").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*group, "_b").orderBy(*key, *ties).rowsBetween(Window.unboundedPreceding, -1)
     inner = b.withColumn("_in", F.coalesce(F.sum("_v").over(within), F.lit(0)))
     on = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)] + [F.col("_b") == F.col("_bb")]
     cond = on[0]

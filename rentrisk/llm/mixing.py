@@ -17,7 +17,8 @@ All targets are 0 where there are no words.
 
 What reaches the driver is one row per source, and a table of at most ``SHARDS`` rows times the
 sources. Documents are numbered along their source by ``running_sum``, which splits a large source.
-Draws depend on the seed, the sources and their sizes only, so reruns agree.
+Draws depend on the seed, the sources and their sizes, and a document's place on its key and text, so reruns
+agree, however the table's files are cut.
 
 Null text has size 0 and is taken 0 times. Null source is a source of its own. Repeated rows are documents
 each; rows alike in every column used share their outcomes in any order. Other columns are not read by
@@ -167,7 +168,7 @@ class Mix:
         self.slots = _slots(ranges, by_source, block, seed)
         by_source = F.broadcast(by_source.select("sid", "name", "source_size", "target"))  # one row per source
         self.docs = running_sum(sized.join(by_source, F.col("source").eqNullSafe(F.col("name")), "left").drop("name"),
-                                ["sid"], [F.col("key"), F.col("size"), F.col("row")], F.col("size"), "at")
+                                ["sid"], [F.col("key"), F.col("fp"), F.col("size")], F.col("size"), "at", ties=("row",))
         self.block = block
 
     def segments(self) -> DataFrame:

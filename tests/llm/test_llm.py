@@ -161,6 +161,8 @@ def test_mixing(spark, edge, empty):
     assert len(rows) == len(by_doc) and abs(sum(target.values()) - sum(size.values())) < 1e-3
     assert all(abs(taken[s] - t) <= 1 for s, t in target.items())
     assert sorted(map(tuple, rows)) == sorted(map(tuple, queries.op6_mixing(spark, SF01).collect()))
+    again = mixing.Mix(docs_of(spark, SF01).repartition(7, "n_chars")).taken().withColumnRenamed("key", "doc_id").collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
     small = mixing.Mix(edge).taken().collect()
     assert len(small) == len(EDGE) and all(r.taken == 0 for r in small if r.size == 0)
     assert mixing.Mix(empty).taken().count() == 0
