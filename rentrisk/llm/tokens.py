@@ -1,24 +1,25 @@
 """Token ids of texts by a public tokenizer file, through the ``tokenizers`` library.
 
-The library cuts a text by a pattern, and merges bytes within each part only. A text is cut first where the pattern
-always cuts: between a character that is no white space and a space after it. A piece that is one part, as
-most words are, is looked up; others are cut by the pattern, and their parts are looked up. Parts
-that the worker has not met yet go to the library's model; it keeps the ids of up to ``CACHE`` parts. The ids are
-those of the whole text. Strings of special tokens count as ordinary text.
+The library cuts a text by a pattern, and merges bytes within each part only. The pattern always cuts between a
+character that is no white space and a space after it, so a text is split at its spaces and each word's ids
+are looked up. A word that the worker has not met yet is cut by the pattern, and its parts are looked up or go to the
+library's model. Texts where a space follows white space are cut by the pattern as a whole. A worker keeps the ids of about
+``CACHE`` words. The ids are those of the whole text. Strings of special tokens count as ordinary text.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 
 FILE = "byte_bpe_50k.json"
 END = 2
-CACHE = 600_000
+CACHE = 800_000
+STOPS = frozenset(".,;:!?")
 
 _TWO_SPACES = re.compile(r"\s ")
-_CUT = re.compile(r"(?<!\s)(?= )")
 
 
 def _path(name: str) -> str:
@@ -33,8 +34,25 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Known(dict):
+    """Ids of words in bytes, made when first asked for; ``before`` is what stands in front of each word in the text."""
+
+    def __init__(self, encoder: Encoder, before: str):
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, word: str) -> bytes:
+        # the pattern always cuts between a letter and a stop; words with their stops would fill the cache
+        if word[-1:] in STOPS and "A" <= word[-2:-1] < "\u0250" and word[-2].isalpha():
+            return self[word[:-1]] + self.encoder.plain[word[-1]]
+        parts = self.encoder.cut(self.before + word)
+        if len(parts) != 1:
+            return b"".join(map(self.encoder.look_up, parts))
+        ids = self[word] = self.encoder.part(parts[0])
+        return ids
+
+
 class Encoder:
-    """Encodes batches of texts to little-endian unsigned 32-bit ids, in bytes."""
+    """Encodes texts to little-endian unsigned 32-bit ids, in bytes."""
 
     _made: dict[str, Encoder] = {}
 
@@ -47,7 +65,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.plain, self.spaced = Known(self, ""), Known(self, " ")
 
     @classmethod
     def of(cls, name: str = FILE) -> Encoder:
@@ -56,42 +74,29 @@ class Encoder:
             cls._made[name] = cls(name)
         return cls._made[name]
 
-    def pieces(self, text: str) -> list[str]:
-        if _TWO_SPACES.search(text):
-            return _CUT.split(text)
-        cut = text.split(" ")
-        cut[1:] = [" " + x for x in cut[1:]]
-        return cut
-
     def part(self, part: str) -> bytes:
+        """Ids of a part that the pattern does not cut."""
         shown = part.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        several = {}
-        for p in set().union(*cut).difference(known) if cut else ():
-            parts = self.cut(p)
-            for x in parts:
-                if x not in known:
-                    known[x] = self.part(x)
-            if len(parts) != 1:
-                several[p] = b"".join([known[x] for x in parts])
-        known.update(several)
-        get = known.__getitem__
-        out = [b"".join(map(get, c)) for c in cut]
-        for p in several:
-            del known[p]
-        return out
-
-
-def encode_batches(texts: list[str | None], name: str = FILE, end: int | None = END, group: int = 100):
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack("<%dI" % len(ids), *ids)
+
+    def look_up(self, part: str) -> bytes:
+        return self.spaced[part[1:]] if part[0] == " " and len(part) > 1 else self.plain[part]
+
+    def encode(self, text: str) -> bytes:
+        if len(self.plain) + len(self.spaced) > CACHE:
+            self.plain.clear()
+            self.spaced.clear()
+        if _TWO_SPACES.search(text):
+            return b"".join(map(self.look_up, self.cut(text)))
+        words = text.split(" ")
+        first = self.plain[words[0]]
+        return first + b"".join(map(self.spaced.__getitem__, words[1:]))
+
+
+def encode_batches(texts: list[str | None], name: str = FILE, end: int | None = END):
     """Yield the ids of each text, null as empty, ``end`` appended."""
     tail = b"" if end is None else np.array([end], "<u4").tobytes()
     encoder = Encoder.of(name)
-    for i in range(0, len(texts), group):
-        for ids in encoder.encode([t or "" for t in texts[i:i + group]]):
-            yield ids + tail
+    for text in texts:
+        yield encoder.encode(text or "") + tail
