@@ -155,7 +155,8 @@ def prefix_pairs(texts: DataFrame, labels: DataFrame, width: int, percent: int)
     """All pairs (a, b) of different labels that may reach the similarity, and few others.
 
     Of a set of n shingles, rarest first, one of the first n - ceil(t n) + 1 is in every set as similar as t.
-    Shingles of one text only need not be looked up: they take their share of those places.
+    Shingles of one text only need not be looked up: they take their share of those places. A shingle so late in
+    either order that the sets could no longer be similar enough, were it the first they share, joins nothing.
     """
     kind = texts.schema["v"].dataType.simpleString()
 
@@ -173,12 +174,14 @@ def prefix_pairs(texts: DataFrame, labels: DataFrame, width: int, percent: int)
     places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("m"))
     rare = (tokens.join(shared, "token").withColumn("m", F.count(F.lit(1)).over(own))
             .withColumn("r", F.row_number().over(own.orderBy("c", "token"))).filter(F.col("r") <= places)
-            .join(labels, "v").select("token", "v", "label"))
+            .join(labels, "v").select("token", "v", "label", "n", (F.col("m") - F.col("r")).alias("after")))
     rare = materialize(rare, "rare")
-    x = rare.select("token", F.col("v").alias("x"), F.col("label").alias("lx"))
-    y = rare.select("token", F.col("v").alias("y"), F.col("label").alias("ly"))
-    met = x.join(y, "token").filter(F.col("lx") < F.col("ly"))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    x = rare.select("token", *[F.col(c).alias(f"{c}x") for c in ("v", "label", "n", "after")])
+    y = rare.select("token", *[F.col(c).alias(f"{c}y") for c in ("v", "label", "n", "after")])
+    # at their first common shingle two sets share at most one more than what either holds after it
+    enough = (F.least("afterx", "aftery") + 1) * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent
+    met = x.join(y, (x["token"] == y["token"]) & (F.col("labelx") < F.col("labely")) & enough)
+    return met.select(F.least("vx", "vy").alias("a"), F.greatest("vx", "vy").alias("b")).distinct()
 
 
 def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str, width: int,
