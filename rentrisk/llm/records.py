@@ -93,15 +93,20 @@ def write_records(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = 0
         for b in batches:
             keys = b.column(1).to_pylist()
             out = [frame(pack_ids(k, ids)) for k, ids in zip(keys, encode_batches(b.column(2).to_pylist(), tokenizer, end))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["shard", "record"])
+            places = pa.array(range(place, place + b.num_rows), pa.int64())
+            place += b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column(0), places, pa.array(out, pa.binary())], ["shard", "place", "record"])
 
     framed = (rows.repartitionByRange(shards, F.col("key").asc_nulls_first())
               .sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
               .select(F.spark_partition_id().alias("shard"), "key", "text")
-              .mapInArrow(run, "shard int, record binary"))
+              .mapInArrow(run, "shard int, place long, record binary")
+              # mapInArrow has no order to Spark, and the sort by shard alone that the write would add mixes rows when it spills
+              .sortWithinPartitions("shard", "place"))
     # the text writer puts out the bytes of a string as they are
     framed.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(f"{path}/records")
     parsed(spark, path).select("shard", "place", "offset", "length", "key", "n_ids").write.parquet(f"{path}/index")

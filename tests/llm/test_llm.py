@@ -213,6 +213,19 @@ def test_records(spark, edge, empty):
     assert spark.read.parquet(f"{path}/index").count() == 0
 
 
+def test_records_keep_order_when_sorts_spill(spark):
+    docs = spark.range(6000).select((F.col("id") * 7 % 6000).alias("doc_id"), F.concat(F.lit("a b "), "id").alias("text"))
+    conf, name = spark._jvm.org.apache.spark.SparkEnv.get().conf(), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    path = scratch_path(spark, "records")
+    conf.set(name, "100")
+    try:
+        records.write_records(docs, path)
+    finally:
+        conf.remove(name)
+    keys = [r["key"] for r in spark.read.parquet(f"{path}/index").orderBy("shard", "place").collect()]
+    assert keys == list(range(6000))
+
+
 def _components(rows, width, percent):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets, inverse = {}, defaultdict(list)
