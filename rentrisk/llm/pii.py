@@ -6,12 +6,16 @@ starts from a score; nearby context words raise it, and a span stays at ``THRESH
 
 Kinds ``email ip card phone`` are the base: a span that passes its check always stays. The method
 adds ``iban`` (mod-97 confirmed) and ``local`` (a phone number without ``+``, which needs a
-context word shortly before it).
+context word near it). Context is the ``CONTEXT_CHARS`` code points of the text on either side of a span,
+other matches among them included.
+
+Account numbers have the length of their country, so that a word after one is not taken for its tail. Those
+of a country or length not in ``ACCOUNT_SIZES`` are read as far as they go, up to the next number of a listed one.
 
 Positions are code points, the end exclusive. They come from splitting the text at the pattern and
 adding up the lengths of the pieces and matches (``scan_array``, which does not slow down where a text
 has very many). Patterns are possessive and anchored to
-the start of a run of characters, so none backtracks over a long run or recurses.
+the start of a run of characters, so none backtracks over a long run or recurses; ``iban`` goes back over 35 characters at most.
 
 Null text counts as empty: no spans. Each row is judged alone: repeated rows and null ids get their
 rows, other columns are left out of ``find`` and kept by ``mask``. An empty table gives an empty table.
@@ -27,7 +31,28 @@ from rentrisk.llm.common import let, scan_array
 BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "iban", "local"]
 THRESHOLD = 0.5
-MATCH = "struct<s:int,e:int,m:string,before:string>"
+MATCH = "struct<s:int,e:int,around:string>"
+
+#: Characters of an account number (IBAN registry, and the countries that use the format outside it).
+ACCOUNT_SIZES = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "AO|CV|GW|LY|MZ|PT|ST", 26: "DZ|IR|IS|TR", 27: "BI|CF|CG|CM|DJ|FR|GA|GQ|GR|IT|KM|MC|MG|MR|SM|TD",
+    28: "AL|AZ|BF|BJ|BY|CI|CY|DO|GT|HN|HU|LB|MA|ML|NE|NI|PL|SN|SV|TG", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE",
+    31: "MT|SC", 32: "LC", 33: "RU"}
+
+
+def _account() -> str:
+    """Pattern of account numbers: in one run, or in groups of four with a space between."""
+    def exact(n, countries):
+        rest = rf"(?:\x20?+[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?+[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        return rf"(?:{countries})[0-9]{{2}}{rest}(?![A-Za-z0-9])"
+
+    listed = "(?:" + "|".join(exact(n, c) for n, c in ACCOUNT_SIZES.items()) + ")"
+    other = (rf"[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20{listed})\x20?+[A-Z0-9]{{4}}){{2,7}}"
+             rf"(?:(?!\x20{listed})\x20?+[A-Z0-9]{{1,3}})?(?![A-Za-z0-9])")
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{listed}|{other})"
+
 
 # A run of the class is entered at its start, or where the last match ended (\G); from any later place
 # of the same run the outcome is the same, so these find what the plain patterns of the contract find.
@@ -36,8 +61,8 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]{4}){2,7}+(?:\x20?+[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
-    "local": r"(?<![A-Za-z0-9+.,-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![A-Za-z0-9.-])",
+    "iban": _account(),
+    "local": r"(?<![A-Za-z0-9+.,-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![A-Za-z0-9-]|\.[0-9])",
 }
 #: A text without this cannot hold the kind.
 NEEDS = {"email": r"@", "ip": r"\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]",
@@ -91,20 +116,44 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _around(matches: Column, pieces: Column, i: Column) -> Column:
+    """The text before and after match ``i``, a line feed between; ``pieces`` lie between the matches, which end with ''.
+
+    A match has two characters or more, so ``CONTEXT_CHARS / 2`` matches and pieces on a side are enough.
+    """
+    n = CONTEXT_CHARS // 2
+    first = F.greatest(F.lit(0), i - n)
+
+    def ends(x):
+        return F.when(F.length(x) > 2 * CONTEXT_CHARS, F.concat(
+            F.substring(x, 1, CONTEXT_CHARS), F.substring(x, -CONTEXT_CHARS, CONTEXT_CHARS))).otherwise(x)
+
+    def text(pairs):
+        return F.array_join(F.transform(pairs, lambda x: F.concat(ends(x["a"]), ends(x["b"]))), "")
+
+    def pair(a, b):
+        return F.struct(a.alias("a"), b.alias("b"))
+
+    before = F.concat(text(F.zip_with(F.slice(pieces, first + 1, i - first), F.slice(matches, first + 1, i - first), pair)),
+                      ends(F.get(pieces, i)))
+    after = text(F.zip_with(F.slice(pieces, i + 2, F.lit(n)), F.slice(matches, i + 2, F.lit(n)), pair))
+    return F.concat(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS), F.lit("\n"), F.substring(after, 1, CONTEXT_CHARS))
+
+
 def proposals(kind: str, text: Column) -> Column:
-    """Array of (s, e, m, before): every match of the kind's pattern, confirmed or not."""
+    """Array of (s, e, around): every match of the kind's pattern; ``around`` is null where the check fails."""
     pattern = PATTERNS[kind]
     pieces = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    before = lambda p: F.substring(
-        p, F.greatest(F.lit(1), F.length(p) - CONTEXT_CHARS + 1), F.lit(CONTEXT_CHARS))
-    pairs = let(matches, lambda ms: F.zip_with(ms, F.slice(pieces, F.lit(1), F.size(ms)), lambda m, p: F.struct(
-        m.alias("m"), F.length(p).alias("gap"), before(p).alias("before"))))
+    pairs = let(F.struct(matches.alias("m"), F.concat(matches, F.array(F.lit(""))).alias("ended"), pieces.alias("p")),
+                lambda t: F.transform(t["m"], lambda m, i: F.struct(
+                    F.length(F.get(t["p"], i)).alias("gap"), F.length(m).alias("size"),
+                    F.when(confirmed(kind, m), _around(t["ended"], t["p"], i)).alias("around"))))
 
     def step(at, x):
         s = at + x["gap"]
-        e = s + F.length(x["m"])
-        return e, F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), x["before"].alias("before"))
+        e = s + x["size"]
+        return e, F.struct(s.alias("s"), e.alias("e"), x["around"].alias("around"))
 
     found = let(pairs, lambda p: scan_array(p, step, MATCH))
     return F.when(text.rlike(NEEDS[kind]), found).otherwise(F.array().cast(f"array<{MATCH}>"))
@@ -112,8 +161,8 @@ def proposals(kind: str, text: Column) -> Column:
 
 def spans_of(kind: str, text: Column) -> Column:
     """Array of (s, e, score) of the kind's confirmed spans, from the left."""
-    near = lambda x: F.lower(x["before"]).rlike(rf"(?<![a-z])(?:{CONTEXT[kind]})")
-    kept = F.filter(proposals(kind, text), lambda x: confirmed(kind, x["m"]))
+    near = lambda x: F.lower(x["around"]).rlike(rf"(?<![a-z])(?:{CONTEXT[kind]})")
+    kept = F.filter(proposals(kind, text), lambda x: x["around"].isNotNull())
     scored = F.transform(kept, lambda x: F.struct(
         x["s"].alias("s"), x["e"].alias("e"),
         F.least(F.lit(1.0), F.lit(SCORE[kind]) + F.when(near(x), BONUS).otherwise(0.0)).alias("score")))

@@ -126,6 +126,22 @@ def test_pii_mask_and_edge(spark, edge, empty):
     assert pii.mask(edge).columns == edge.columns and pii.find(edge).count() == len(EDGE) and pii.find(empty).count() == 0
 
 
+def test_pii_added_kinds_in_running_text(spark):
+    es, gb = "ES91 2100 0418 4502 0005 1332", "GB82 WEST 1234 5698 7654 32"
+    cases = {f"{es} Banco": {es}, f"{es.replace(' ', '')} Banco": {es.replace(" ", "")}, f"{es} BIC CAIXESBB": {es},
+             f"{es} {gb}": {es, gb}, f"Ref AB12 3456 7890 {gb}.": {gb}, f"{gb} BIC": {gb}, f"{es.replace('1332', '1333')} BIC": set(),
+             "NO93 8601 1117 947 og": {"NO93 8601 1117 947"}, "LC14BOSL123456789012345678901234": {"LC14BOSL123456789012345678901234"},
+             "Call 212-555-1212.": {"212-555-1212"}, "call 212-555-1212.5": set(),
+             "Call 212-555-1212 or 212-555-1313, (212) 555-1414.": {"212-555-1212", "212-555-1313", "(212) 555-1414"},
+             "212-555-1212 is the phone": {"212-555-1212"}, "call é" + "x" * 45 + " 212-555-1212": set(),
+             "call " + "212-555-1212 " * 3 + "x" * 40 + " 212-555-1212": {"212-555-1212"}}
+    rows = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in pii.find(rows).join(rows, "doc_id").collect():
+        assert {r.text[x["s"]:x["e"]] for k in ("iban", "local") for x in r[k]} == cases[r.text], r.text
+    last = next(r for r in pii.find(rows).collect() if r.doc_id == len(cases) - 1)
+    assert len(last["local"]) == 3
+
+
 def test_language(spark, edge, empty):
     docs = docs_of(spark, SF01)
     got = queries.op4_language_id(spark, SF01).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
