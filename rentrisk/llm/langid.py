@@ -4,7 +4,8 @@ A text's letters and white space are cut into overlapping byte n-grams of two to
 count as a space. Each n-gram is hashed to one of ``BUCKETS`` embeddings, the text's embedding is
 their mean, and a linear softmax over it gives the languages. Embeddings and weights are trained
 together by stochastic gradient descent in numpy on a bounded sample of labelled rows
-(``Settings.per_language`` rows of each language, ``Settings.languages`` languages at most), of
+(``Settings.per_language`` different rows of each language; more than ``Settings.languages`` languages
+are an error, as each one left out would be predicted wrong), of
 whose whole texts Spark's tasks send back only bucket counts. A part of the sample sets the
 temperature that calibrates the probabilities and the rejection level: the score under which the
 calibrated answers are wrong too often (extra column ``accepted``).
@@ -14,7 +15,7 @@ any length is scored whole by averaging rows of it.
 
 Null text or text without a letter: ``und``, score 0, not accepted. A table without any label gives
 ``und`` throughout. Ties of the softmax go to the first language by name. Repeated rows and null
-keys get their rows; they hash to one fold by the key's text (null: held out). Labels are read only
+keys get their rows, and a repeated row is learned once; they hash to one fold by the key's text (null: held out). Labels are read only
 from the training fold; no other column takes part in a prediction.
 """
 
@@ -172,20 +173,21 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
                        ).filter("lang is not null and text is not null")
-    top = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-           .limit(settings.languages).collect()]
+    if rows.select("lang").distinct().limit(settings.languages + 1).count() > settings.languages:
+        raise ValueError(f"more than {settings.languages} languages; set Settings.languages for more")
     draw = F.xxhash64(F.col("key"), F.lit(settings.seed))
     w = Window.partitionBy("lang").orderBy("_draw", "key", "text")
     # the draw needs keys only; the drawn keys then fetch their texts
     keys = (rows.select("key", "lang", F.xxhash64("text").alias("text")).withColumn("_draw", draw)
-            .filter(F.col("lang").isin(top) if top else F.lit(False))
-            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= settings.per_language)
+            .withColumn("_n", F.dense_rank().over(w)).filter(F.col("_n") <= settings.per_language)
             .select(F.col("key").alias("k"), F.col("lang").alias("l"), F.col("text").alias("t")))
     drawn = rows.join(keys, F.col("key").eqNullSafe(F.col("k")) & (F.col("lang") == F.col("l"))
                       & (F.xxhash64("text") == F.col("t")), "left_semi")
+    # a drawn row brings all its copies; one stays
+    drawn = drawn.select("key", "lang", "text", F.xxhash64("text").alias("_t")).dropDuplicates(["key", "lang", "_t"])
     got = (drawn.select("key", "lang", "text")
            .mapInArrow(count_rows, "lang string, buckets array<int>, counts array<bigint>")
-           .orderBy("lang", "buckets", "counts").limit(settings.per_language * max(1, len(top))).collect())
+           .orderBy("lang", "buckets", "counts").collect())
     names = sorted({r["lang"] for r in got})
     x = np.zeros((len(got), BUCKETS), np.float32)
     for i, r in enumerate(got):

@@ -154,6 +154,18 @@ def test_language(spark, edge, empty):
     assert langid.train(empty).names == [] and langid.predict(empty, model).count() == 0
 
 
+def test_language_sample_holds_every_language(spark):
+    words = {"aa": "the cat and dog", "bb": "le chat et chien", "cc": "die katze und hund"}
+    rows = [(10 * i + j, f"{t} {i}", k) for i in range(1, 20) for j, (k, t) in enumerate(words.items()) for _ in range(1 if j else 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, settings=langid.Settings(per_language=10))
+    assert model.names == ["aa", "bb", "cc"]
+    probe = spark.createDataFrame(list(enumerate(words.values())), "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(probe, model).collect()} == dict(enumerate(words))
+    with pytest.raises(ValueError):
+        langid.train(docs, settings=langid.Settings(languages=2))
+
+
 def test_quality_edge(edge, empty):
     got = [r for r in quality.judge(edge).collect()]
     assert len(got) == len(EDGE) and not any(r.kept for r in got)
