@@ -237,9 +237,13 @@ def final_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def first_only(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``rank`` among those of the same names, ties of one place alike; rows alike are sorted once."""
-    w = Window.partitionBy("name", "kind", "whole").orderBy("d", "fp", "s")
-    return rows.repartition("name").withColumn("rank", F.rank().over(w))
+    """``rows`` with ``rank`` among those of the same names, ties of one place alike; rows alike are sorted once.
+
+    Rows of one name lie in many tasks, those of the same ``whole`` in one. Rows alike in these have one ``e``; it is
+    in the order so that all readers of the rows need all columns and share the exchange.
+    """
+    w = Window.partitionBy("name", "kind", "whole").orderBy("d", "fp", "s", "e")
+    return rows.repartition("name", "whole").withColumn("rank", F.rank().over(w))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -253,10 +257,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     found = rows.select("d", "fp", "text").mapInArrow(sample_rows(length), ROW)
-    same = Window.partitionBy("name", "kind")
-    state = (F.when((F.col("kind") == GONE) | (F.col("rank") > 1), GONE).when(F.col("lo") != F.col("hi"), OPEN))
-    hits = (first_only(found).withColumn("lo", F.min("whole").over(same)).withColumn("hi", F.max("whole").over(same))
-            .withColumn("kind", state).filter("kind is not null").select("kind", "name", "d", "fp", "s", "e"))
+    ranked = first_only(found)
+    # in one piece, and null-safe below: a condition on kind or name alone would be pushed under one reader's exchange
+    first = F.when(F.col("kind") == CANDIDATE, F.col("rank")).otherwise(0) == 1
+    # names with different bytes around them; each task adds up its own rows of a name before they are dealt by name
+    several = (ranked.filter(first).groupBy(F.col("name").alias("n")).agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"))
+               .filter("lo != hi").select("n"))
+    settled = ranked.filter((F.col("kind") == GONE) | (F.col("rank") > 1)).withColumn("kind", F.lit(GONE))
+    unsettled = ranked.filter(first).join(several, F.col("name").eqNullSafe(F.col("n")), "left_semi").withColumn("kind", F.lit(OPEN))
+    hits = settled.unionByName(unsettled).select("kind", "name", "d", "fp", "s", "e")
     hits = materialize(hits, "repeats")
 
     todo = (hits.filter(F.col("kind") == OPEN).groupBy("d", "fp")

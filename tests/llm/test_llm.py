@@ -357,6 +357,27 @@ def test_repeats(spark):
     assert got == _repeats(table, 100)
 
 
+def test_windows_of_one_name_are_dealt_over_tasks(spark, monkeypatch):
+    """A clause with different text around it in every document: its windows differ and share their anchor name."""
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    clause, sizes, plain = word(60), [], suffixes.first_only
+
+    def seen(*args):
+        out = plain(*args)
+        sizes.append([r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()])
+        return out
+
+    monkeypatch.setattr(suffixes, "first_only", seen)
+    docs = spark.createDataFrame([(i, word(70) + clause + word(70)) for i in range(300)], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert suffixes.remove_repeats(docs).agg(F.sum("n_removed")).first()[0] == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 2 and max(sizes[1]) < sum(sizes[1]) / 4
+
+
 def test_repeats_edge(spark, edge, empty):
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in suffixes.remove_repeats(edge).collect())
     want = _repeats([(k, t) for k, t in {(k or -1, t) for k, t in EDGE}], 100)
