@@ -158,3 +158,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         up[0] = down[0] = 1
         _powers[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
     return _powers[0][:n + 1], _powers[1][:n + 1]
+
+
+# ---- numpy over vectors
+
+def vectors(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    """Rows x dim doubles of a column of arrays without nulls; shorter arrays are filled with zeros."""
+    arrays = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    lengths = pc.list_value_length(arrays).to_numpy(zero_copy_only=False)
+    flat = arrays.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if len(flat) == len(lengths) * dim and (lengths == dim).all():
+        return flat.reshape(len(lengths), dim)
+    out = np.zeros((len(lengths), dim))
+    out[np.arange(dim) < lengths[:, None]] = flat
+    return out

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentrisk.llm import ann, langid, minhash, mixing, packing, pii, quality, records, suffixes, urlfilter
+from rentrisk.llm import ann, langid, minhash, mixing, negatives, packing, pii, quality, records, suffixes, urlfilter
 from rentrisk.llm.common import read
 from rentrisk.llm.oracles import ORACLES
 from rentrisk.session import scratch_path
@@ -68,6 +68,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(rows, vec_id % 100 == 0, positives=5, negatives=5, low=80, high=100, scale=256)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -75,5 +81,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_ann, op3_pii, op4_language_id, op5_quality_rules, op6_mixing,
-                            op7_token_records, op8_minhash, op9_packing, op10_suffix_dedup, pipeline)
+                            op7_token_records, op8_minhash, op9_packing, op10_suffix_dedup, op13_hard_negatives,
+                            pipeline)
 }
