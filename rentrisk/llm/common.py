@@ -172,3 +172,17 @@ def vectors(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     out = np.zeros((len(lengths), dim))
     out[np.arange(dim) < lengths[:, None]] = flat
     return out
+
+
+def sum_batches(df: DataFrame, size: int, f) -> np.ndarray:
+    """The sum over all Arrow batches of ``f(batch)``, an array of ``size`` doubles: added up per task, then by Spark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for b in batches:
+            total += f(b)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["at", "v"])
+
+    out = np.zeros(size)
+    for r in df.mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).collect():
+        out[r["at"]] = r["v"]
+    return out

@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentrisk.llm import (ann, langid, minhash, mixing, negatives, packing, pii, quality, records, suffixes, urlfilter,
-                          whitening)
+from rentrisk.llm import (ann, langid, minhash, mixing, negatives, packing, pii, quality, qualitymodel, records,
+                          suffixes, urlfilter, whitening)
 from rentrisk.llm.common import read
 from rentrisk.llm.oracles import ORACLES
 from rentrisk.session import scratch_path
@@ -69,6 +69,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualitymodel.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = whitening.whiten(read(spark, sf_dir, "embeddings"), count=32, scale=64, shift=1_000_000)
     return done.withColumn("deviation", F.col("deviation").cast("long"))
@@ -87,6 +91,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_ann, op3_pii, op4_language_id, op5_quality_rules, op6_mixing,
-                            op7_token_records, op8_minhash, op9_packing, op10_suffix_dedup, op12_whitening,
-                            op13_hard_negatives, pipeline)
+                            op7_token_records, op8_minhash, op9_packing, op10_suffix_dedup, op11_quality_classifier,
+                            op12_whitening, op13_hard_negatives, pipeline)
 }

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentrisk.llm.ann import directions
+from rentrisk.llm.common import sum_batches
 from rentrisk.session import materialize
 
 BLOCK_ROWS = 2048
@@ -104,18 +105,10 @@ def block_sums(blocks: DataFrame, dim: int) -> list[int]:
 
 def reduce_rows(blocks: DataFrame, centre: Centre, size: int, f: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """The sum over all blocks of ``f(centred rows)``, an array of ``size`` doubles: one Spark job."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
-        for b in batches:
-            for _, x in unpack(b):
-                total += f(centre.rows(x)).ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["at", "v"])
-
-    got = blocks.select("ids", "x", "kind", "dim").mapInArrow(run, "at long, v double")
-    out = np.zeros(size)
-    for r in got.groupBy("at").agg(F.sum("v").alias("v")).collect():
-        out[r["at"]] = r["v"]
-    return out
+    def add(batch: pa.RecordBatch) -> np.ndarray:
+        return sum((f(centre.rows(x)).ravel() for _, x in unpack(batch)), np.zeros(size))
+
+    return sum_batches(blocks.select("ids", "x", "kind", "dim"), size, add)
 
 
 # ---- Jacobi-Davidson
