@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, raw in enumerate(encode_batches(b.column(1).to_pylist(), tokenizer)):
+            for i, raw in enumerate(encode_batches(b.column(1), tokenizer)):
                 n = len(raw) // 4
                 cut = n % capacity or capacity
                 for j, s in enumerate([0, *range(cut, n, capacity)]):

@@ -27,6 +27,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ from pyspark.sql.window import Window
 
 from rentrisk.llm.common import small_batches
 from rentrisk.llm.tokens import END, FILE, encode_batches
+from rentrisk.session import materialize
 
 SHARD_BYTES = 32 << 20
 NULL_KEY, WIDE = 1, 2
@@ -96,7 +98,7 @@ def write_records(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
         place = 0
         for b in batches:
             keys = b.column(1).to_pylist()
-            out = [frame(pack_ids(k, ids)) for k, ids in zip(keys, encode_batches(b.column(2).to_pylist(), tokenizer, end))]
+            out = [frame(pack_ids(k, ids)) for k, ids in zip(keys, encode_batches(b.column(2), tokenizer, end))]
             places = pa.array(range(place, place + b.num_rows), pa.int64())
             place += b.num_rows
             yield pa.RecordBatch.from_arrays([b.column(0), places, pa.array(out, pa.binary())], ["shard", "place", "record"])
@@ -109,7 +111,9 @@ def write_records(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
               .sortWithinPartitions("shard", "place"))
     # the text writer puts out the bytes of a string as they are
     framed.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(f"{path}/records")
-    parsed(spark, path).select("shard", "place", "offset", "length", "key", "n_ids").write.parquet(f"{path}/index")
+    # the index is what the files hold, read back
+    with file_by_file(spark):
+        parsed(spark, path).write.parquet(f"{path}/index")
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -139,14 +143,25 @@ def parsed(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
                     types = [pa.int32()] + [pa.int64()] * 6 + [pa.binary()] * with_ids
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
+    return _files(spark, path).mapInArrow(run, schema)
+
+
+@contextmanager
+def file_by_file(spark: SparkSession):
+    """Rows that hold whole files go to Python one by one while the block runs what reads them."""
     conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
     spark.conf.set(conf, "1")
-    return _files(spark, path).mapInArrow(run, schema)
+    try:
+        yield
+    finally:
+        spark.conf.set(conf, before)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """``key, ids`` of all records."""
-    return parsed(spark, path, True).select("key", "ids")
+    """``key, ids`` of all records, parsed into a table in the shared folder."""
+    with file_by_file(spark):
+        return materialize(parsed(spark, path, True).select("key", "ids"), "records-read")
 
 
 def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
@@ -165,17 +180,17 @@ def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
                     ["shard", "offset", "key", "ids"])
 
     files = _files(spark, path).join(spots, "shard").select("shard", "content", "offsets")
-    return files.mapInArrow(run, "shard int, offset long, key long, ids binary")
+    with file_by_file(spark):
+        return materialize(files.mapInArrow(run, "shard int, offset long, key long, ids binary"), "records-fetched")
 
 
 def starts(spark: SparkSession, path: str) -> DataFrame:
-    """``key, start, n_ids, ids_crc32`` of all records as read back; ``start`` counts the ids before it in file order."""
-    rows = parsed(spark, path)
+    """``key, start, n_ids, ids_crc32`` of all records as the index read them back; ``start`` counts the ids before, in file order."""
     index = spark.read.parquet(f"{path}/index")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # one row per shard
     base = index.groupBy("shard").agg(F.sum("n_ids").alias("_n")).select(
         "shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     inner = Window.partitionBy("shard").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    return (rows.withColumn("_in", F.coalesce(F.sum("n_ids").over(inner), F.lit(0))).join(base, "shard")
+    return (index.withColumn("_in", F.coalesce(F.sum("n_ids").over(inner), F.lit(0))).join(base, "shard")
             .select("key", (F.col("_base") + F.col("_in")).alias("start"), "n_ids", "ids_crc32"))
