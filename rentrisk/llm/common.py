@@ -29,6 +29,13 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def unused(df: DataFrame, prefix: str = "_own_") -> str:
+    """A prefix that no column of ``df`` has, for columns of ours beside the user's."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def words(text: Column) -> Column:
     """Array of the maximal runs of non-white-space characters; empty for null or blank text."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rentrisk.llm.common import HASH_BASE, mix64, powers, random64, row_chunks, small_batches, utf8, word_bounds
+from rentrisk.llm.common import HASH_BASE, mix64, powers, random64, row_chunks, small_batches, unused, utf8, word_bounds
 from rentrisk.session import materialize
 
 BANDS, ROWS, BITS = 24, 4, 4
@@ -301,5 +301,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the rows whose near-duplicate component has a smaller key; all columns as they were."""
-    gone = near_duplicates(docs, key, text, width, percent).filter(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    name = unused(docs)
+    gone = near_duplicates(docs, key, text, width, percent).filter(~F.col("kept")).select(F.col(key).alias(name)).distinct()
+    return docs.join(gone, F.col(key) == F.col(name), "left_anti")

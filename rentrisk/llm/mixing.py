@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from rentrisk.llm.common import row_chunks, running_sum, small_batches, utf8, word_bounds
+from rentrisk.llm.common import row_chunks, running_sum, small_batches, unused, utf8, word_bounds
 from rentrisk.session import materialize
 
 BLOCK = 256
@@ -274,16 +274,20 @@ def apply(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     a word taken are left out, and so are documents without words.
     """
     parts = Mix(docs, key, text, source, block, seed).segments()
-    same = Window.partitionBy("_k", "_s", "_f")
-    left = (docs.select("*", F.col(key).alias("_k"), F.col(source).cast("string").alias("_s"), _print(text).alias("_f"))
-            .withColumn("_n", F.row_number().over(same.orderBy("_f"))))
-    right = parts.select(F.col("key").alias("_k"), F.col("source").alias("_s"), F.col("fp").alias("_f"), "row", "parts")
-    right = right.withColumn("_n", F.row_number().over(same.orderBy("row"))).drop("row").select(
-        *[F.col(c).alias(f"_r{c}") for c in ("_k", "_s", "_f", "_n")], F.col("parts").alias("_parts"))
-    cond = F.col("_n") == F.col("_r_n")
-    for c in ("_k", "_s", "_f"):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_r{c}"))
+    p = unused(docs)
+    on = [f"{p}{c}" for c in ("k", "s", "f")]
+    number, taken, other = f"{p}n", f"{p}parts", f"{p}r_"
+    same = Window.partitionBy(*on)
+    left = docs.select("*", F.col(key).alias(on[0]), F.col(source).cast("string").alias(on[1]), _print(text).alias(on[2]))
+    left = left.withColumn(number, F.row_number().over(same.orderBy(on[2])))
+    right = parts.select(F.col("key").alias(on[0]), F.col("source").alias(on[1]), F.col("fp").alias(on[2]), "row",
+                         F.col("parts").alias(taken))
+    right = right.withColumn(number, F.row_number().over(same.orderBy("row"))).drop("row")
+    right = right.select(*[F.col(c).alias(other + c) for c in (*on, number)], taken)
+    cond = F.col(number) == F.col(other + number)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(other + c))
     rest = [f for f in docs.schema.fields if f.name != text]
     schema = StructType([docs.schema[text], *rest])
-    rows = left.join(right, cond).select(F.col(text), "_parts", *[F.col(f"`{f.name}`") for f in rest])
+    rows = left.join(right, cond).select(F.col(text), taken, *[F.col(f"`{f.name}`") for f in rest])
     return rows.mapInArrow(_copies, schema).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,11 +2,11 @@
 
 ``FEATURES`` are measured once a text, ``RULES`` compare them. Base features and the base verdict are
 those of the contract; the further rules ask for what running prose shows in any language: no
-flood of symbols, bars or capitals, few lines or word triples said again, words of common length and
+flood of symbols or bars, few lines or word triples said again, words of common length and
 a share of the commonest function words.
 
 Null or blank text has no words: all counts 0, it fails. Each row is judged alone, so repeated rows
-and null ids get their rows; ``apply`` adds its columns under the prefix ``_q_`` and leaves the others.
+and null ids get their rows; an empty table gives an empty one. ``keep_good`` leaves all columns as they were, whatever their names.
 Triples of words are compared by a 64-bit hash within one text; sorting them, not a map, finds those
 found twice, so a very long text costs n log n.
 """
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentrisk.llm.common import SPACE_CLASS, let, words
+from rentrisk.llm.common import SPACE_CLASS, let, unused, words
 
 #: Common function words of the four languages.
 STOP_WORDS = """
@@ -88,8 +88,8 @@ def repeat_words(ws: Column) -> Column:
     return F.when(F.size(ws) < 3, F.lit(0)).otherwise(let(ws, of))
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``_q`` of all features."""
+def measure(docs: DataFrame, text: str = "text", name: str = "_q") -> DataFrame:
+    """``docs`` with a struct of all features."""
     t = F.coalesce(F.col(text), F.lit(""))
     stop = sorted({*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)})
 
@@ -104,12 +104,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             repeat_words(ws).cast("long").alias("n_repeat_words"),
             F.size(F.filter(ws, lambda w: w.isin(stop))).alias("n_stop"))
 
-    return docs.withColumn("_q", let(words(F.col(text)), counts))
+    return docs.withColumn(name, let(words(F.col(text)), counts))
 
 
-def compiled(rules: list[Rule]) -> Column:
+def compiled(rules: list[Rule], name: str = "_q") -> Column:
     """One Boolean expression over the features: true where no rule rejects."""
-    q = F.col("_q")
+    q = F.col(name)
     n = F.greatest(q["n_words"], F.lit(1)).cast("double")
     features = {
         "n_words": q["n_words"].cast("double"),
@@ -128,8 +128,8 @@ def compiled(rules: list[Rule]) -> Column:
     return ok
 
 
-def base_failed() -> Column:
-    q = F.col("_q")
+def base_failed(name: str = "_q") -> Column:
+    q = F.col(name)
     return (q["n_words"] < 50) | (q["n_repeat_words"] * 100 > q["n_words"] * 50)
 
 
@@ -145,4 +145,5 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: list[
 
 def keep_good(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, all columns as they were."""
-    return measure(docs, text).filter(~base_failed() & compiled(rules)).drop("_q")
+    q = unused(docs) + "q"
+    return measure(docs, text, q).filter(~base_failed(q) & compiled(rules, q)).drop(q)

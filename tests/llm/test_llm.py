@@ -429,3 +429,25 @@ def test_pipeline(spark):
     words = lambda rows: sum(len(WORD.findall(t)) for _, t in rows)
     assert abs(words(pairs_of(mixed)) - words(pairs_of(masked))) <= 40
     assert packed.agg(F.sum("length")).first()[0] == sum(len(_ids(t)) for _, t in pairs_of(mixed))
+
+
+OWN = ("_n", "_k", "_s", "_f", "_parts", "_r_k", "_r_n", "_gone", "_q", "_own_n", "_OWN_q", "_own__k", "_b", "_v", "_base", "_in", "_bb",
+       "key", "row", "parts", "fp", "k1", "k2", "sig", "bands", "label", "kept", "piece", "start", "length", "n", "v", "a", "b", "o1", "h")
+
+
+def test_stages_leave_other_columns_alone(spark, edge, empty):
+    """Every internal name as a user's column: values stay, and an empty table stays empty."""
+    text = " ".join(f"word{i} of the" for i in range(60))
+    rows = [(i, text.replace("word", f"w{i}x") if i % 3 else text, "en", f"s{i % 2}", len(text)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in OWN:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c}:"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF001)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(r[c] == f"{c}:{r['doc_id']}" for r in got for c in OWN), name
+        assert stage(spark, docs.limit(0), SF001).count() == 0, name
+    packed = corpus_pipeline.STAGES[-1][1]
+    assert packed(spark, docs, SF001).agg(F.count_distinct("doc_id")).first()[0] == 12
+    assert packed(spark, docs.limit(0), SF001).count() == 0
