@@ -9,6 +9,7 @@ if ROOT not in sys.path:
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
+SF1 = "/root/testdata/sf0.1"
 
 
 @pytest.fixture(scope="session")
