@@ -8,7 +8,9 @@ minority):
 * continuous attributes: ``x + gap * (y - x)`` with ``gap = h(seed, id, r, 'g')``
   uniform in [0, 1) (Chawla et al. 2002);
 * discrete attributes: the parent's or the neighbour's value by a hash coin per
-  attribute, so every synthetic value was observed.
+  attribute, so every synthetic value was observed (``discrete_by="coin"``); or, as the
+  paper's SMOTE-NC does, the commonest value of the k neighbours, of equally common ones
+  the smallest, NULL before all (``discrete_by="vote"``).
 
 The draws are hashes of (seed, id, copy), not ``rand()``, so a recomputed task
 produces the same rows. A row with no neighbour (a one-row minority) copies itself.
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentrisk.functions.hashing import hash32, hash_unit
@@ -37,6 +39,7 @@ class SmoteSpec:
     multiplier: int
     seed: int = 0
     id_col: str = "id"
+    discrete_by: str = "coin"
 
 
 def fan_out(rows: DataFrame, id_col: str, copies: int, chunk: int = COPY_CHUNK) -> DataFrame:
@@ -53,9 +56,20 @@ def fan_out(rows: DataFrame, id_col: str, copies: int, chunk: int = COPY_CHUNK)
     return rows.select("*", F.explode(F.sequence(F.col("_from"), last)).alias("copy")).drop("_from")
 
 
+def vote(neighbours: Column, name: str) -> Column:
+    """The commonest value of an attribute in a neighbour list, copies counted; ties go to the smallest, NULL first."""
+    seen = F.array_distinct(F.transform(neighbours, lambda e: e[name]))
+    # a list has k + 1 entries at most
+    votes = lambda v: F.aggregate(F.filter(neighbours, lambda e: e[name].eqNullSafe(v)), F.lit(0).cast("bigint"),
+                                  lambda s, e: s + e["take"])
+    return F.array_min(F.transform(seen, lambda v: F.struct((-votes(v)).alias("n"), v.alias("v"))))["v"]
+
+
 def synthetic_rows(sample: DataFrame, spec: SmoteSpec, res: KnnResult | None = None) -> DataFrame:
     """Synthetic rows: (parent id, copy r, attributes...). ``sample`` holds id + attributes."""
     attrs = spec.discrete + spec.continuous
+    if spec.discrete_by not in ("coin", "vote"):
+        raise ValueError("discrete_by must be 'coin' or 'vote'")
     if spec.multiplier is None or spec.multiplier < 2:
         shape = sample.select(F.col(spec.id_col).alias("parent_id"), F.lit(0).alias("copy"), *attrs)
         return sample.sparkSession.createDataFrame([], shape.schema)
@@ -65,6 +79,9 @@ def synthetic_rows(sample: DataFrame, spec: SmoteSpec, res: KnnResult | None = N
     if res.k_eff > 0:
         # neighbour lists go to the points first (one to one), then one join to the rows
         pts = pts.join(neighbour_arrays(res, attrs), "_pid", "left")
+        if spec.discrete_by == "vote":
+            # once per point, before its rows are copied
+            pts = pts.withColumns({f"_vote_{d}": vote(F.col("_nbs"), d) for d in spec.discrete})
     else:
         pts = pts.withColumn("_nbs", F.lit(None))
     rows = attach_points(sample.select(spec.id_col, *attrs), pts, attrs, res.n_rows)
@@ -80,6 +97,9 @@ def synthetic_rows(sample: DataFrame, spec: SmoteSpec, res: KnnResult | None = N
     gap = hash_unit(spec.seed, rid, r, F.lit("g"))
     out = [rid.alias("parent_id"), r]
     for i, d in enumerate(spec.discrete):
+        if spec.discrete_by == "vote":
+            out.append((F.col(f"_vote_{d}") if res.k_eff > 0 else F.col(d)).alias(d))
+            continue
         coin = hash32(spec.seed, rid, r, F.lit(f"c{i}")) % 2
         out.append(F.when(coin == 0, F.col(d)).otherwise(F.col("_nb")[d]).alias(d))
     for c in spec.continuous:

@@ -272,6 +272,7 @@ def q_orc_append(spark, sf_dir):
 # ---------------------------------------------------------------- kNN and SMOTE
 
 from rentrisk.operators.knn import knn, row_neighbours  # noqa: E402
+from rentrisk.operators.lsh import direction, knn_lsh, size_of  # noqa: E402
 from rentrisk.operators.smote import SmoteSpec, synthetic_rows  # noqa: E402
 
 K = 10   # the reference's smote_k
@@ -372,12 +373,70 @@ def q_smote_train_table(spark, sf_dir):
     return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
 
 
-@register("knn_lsh")
+LSH_TABLES = 2
+LSH_LEVELS = 8  # levels of splits written out; a level without an over-full bucket changes nothing
+
+
+def knn_lsh_sql(k: int, seed: int, tables: int = LSH_TABLES, levels: int = LSH_LEVELS) -> str:
+    """The composite hashes of ``operators.lsh`` in SQL: the same buckets, candidates and fallback."""
+    size = size_of(k, None)
+    c, d = SMOTE_CONTINUOUS, SMOTE_DISCRETE
+    dims = len(c)
+    keys = ", ".join(f"case when mask & {1 << i} <> 0 then {x} end as k{i}" for i, x in enumerate(d))
+    group = "mask, " + ", ".join(f"k{i}" for i in range(len(d)))
+    z = ", ".join(f"case when rng_{x} = 0 then 0.0 else ({x} - min_{x}) / rng_{x} end as z{i}" for i, x in enumerate(c))
+
+    def dot(t, j):
+        return " + ".join(f"cast('{w!r}' as double) * z{i}" for i, w in enumerate(direction(seed, t, j, dims)[0]))
+
+    def by_table(value):
+        return "case t " + " ".join(f"when {t} then {value(t)}" for t in range(tables)) + " end"
+
+    steps = [f"""b0 as (
+  select s.*, t, cast(t as varchar) as key, n as gn from
+    (select *, sum(cast(data as int)) over (partition by {group}) as n from strata) s, (select unnest(range({tables})) as t) tt
+  where t = 0 or n > {size})"""]
+    for j in range(levels):
+        offset = by_table(lambda t: f"cast('{direction(seed, t, j, dims)[1]!r}' as double)")
+        steps.append(f"""b{j + 1} as (
+  select * exclude (x, cnt, lo, hi) replace (case when cnt > {size} and hi > lo then key || '.' || cast(floor(
+      (case when cnt > {4 * size} then 8 when cnt > {2 * size} then 4 else 2 end) * (x - lo) / (hi - lo) + {offset}) as bigint)
+    else key end as key)
+  from (select *, sum(cast(data as int)) over w as cnt, min(x) filter (data) over w as lo, max(x) filter (data) over w as hi
+        from (select *, {by_table(lambda t: dot(t, j))} as x from b{j}) window w as (partition by {group}, key)))""")
+    agree = " + ".join(f"(case when a.{x} is not distinct from b.{x} then {1 << i} else 0 end)" for i, x in enumerate(d))
+    same = " and ".join(f"a.k{i} is not distinct from b.k{i}" for i in range(len(d)))
+    point = " and ".join(f"{{0}}.{x} is not distinct from {{1}}.{x}" for x in d + c)
+    order = ", ".join(f"b.{x} nulls first" for x in d + c)
+    return f"""
+with mino as ({MINO_SQL}),
+st as (select count(*) as n, {', '.join(f'min({x}) as min_{x}, max({x}) - min({x}) as rng_{x}' for x in c)} from mino),
+pts as (select row_number() over (order by {', '.join(d + c)}) as pid, * from (select distinct {', '.join(d + c)} from mino)),
+strata as (
+  select *, row_number() over (partition by {group}, {', '.join(c)} order by {', '.join(f'{x} nulls first' for x in d)})
+            <= least({k}, (select n from st) - 1) + 1 as data
+  from (select *, {keys} from (select p.*, {z} from pts p, st) q, (select unnest(range({1 << len(d)})) as mask) mm)),
+{', '.join(steps)},
+met as (select distinct a.pid as a, b.pid as b from b{levels} a join b{levels} b on a.mask = b.mask and {same} and a.key = b.key
+        where b.data and a.pid <> b.pid and {agree} = a.mask),
+r as (select m.*, p.pid from mino m join pts p on {point.format('m', 'p')}),
+near as (select a.id as ia, b.id as ib from r a join r b on a.id <> b.id and a.pid = b.pid
+         union all select a.id, b.id from met join r a on a.pid = met.a join r b on b.pid = met.b),
+enough as (select ia from near group by ia having count(*) >= least({k}, (select n from st) - 1)),
+cand as (select ia, ib from near where ia in (select ia from enough)
+         union all select a.id, b.id from r a join r b on a.id <> b.id where a.id not in (select ia from enough)),
+ranked as (
+  select a.id, {', '.join(f'b.{x} as nb_{x}' for x in SMOTE_ATTRS)}, {_d2_sql()} as d2,
+         row_number() over (partition by a.id order by {_d2_sql()}, {order}) - 1 as slot, least({k}, st.n - 1) as k_eff
+  from cand join mino a on a.id = ia join mino b on b.id = ib cross join st)
+select id, cast(slot as bigint) as slot, {', '.join(f'nb_{x}' for x in SMOTE_ATTRS)}, d2 from ranked where slot < k_eff"""
+
+
+@register("knn_lsh", knn_lsh_sql(K, SEED))
 def q_knn_lsh(spark, sf_dir):
-    """Approximate neighbours (LSH); checked by row count here and by recall in the tests."""
-    from rentrisk.operators.lsh import knn_lsh
+    """Approximate neighbours by composite hashes; the SQL computes the same hashes, the tests hold the recall."""
     sample = smote_sample(spark, sf_dir)
-    res = knn_lsh(sample.select(*SMOTE_ATTRS), SMOTE_DISCRETE, SMOTE_CONTINUOUS, K, seed=SEED)
+    res = knn_lsh(sample.select(*SMOTE_ATTRS), SMOTE_DISCRETE, SMOTE_CONTINUOUS, K, num_tables=LSH_TABLES, seed=SEED)
     return row_neighbours(sample, "id", res, SMOTE_DISCRETE, SMOTE_CONTINUOUS)
 
 
@@ -538,3 +597,144 @@ def q_test_report(spark, sf_dir):
     path = scratch_path(spark, "test_report")
     write_report(report_row(regression_metrics(_fixed_prediction(spark, sf_dir)), "fixed_prediction"), path)
     return _rounded(spark.read.parquet(path))
+
+
+# ---------------------------------------------------------------- lasso from fold statistics, scoring by a coefficient table
+
+from rentrisk.operators import dictionary as DICT  # noqa: E402
+from rentrisk.operators import gram as G  # noqa: E402
+
+_LASSO_FOLDS_SQL = f"""
+with t as (select label, rent_amount as x, cast({O.hash32(M.FOLD_SEED, 'id')} % {M.NUM_FOLDS} as int) as fold from {TRAIN_ROWS_SQL}),
+f as (select unnest(range({M.NUM_FOLDS})) as f),
+s as (select f, avg(x) as mx, avg(label) as my, stddev_pop(x) as sx, stddev_pop(label) as sy, corr(x, label) as r
+      from t join f on fold <> f group by f),
+g as (select cast(unnest([{', '.join(str(x) for x in LASSO_REGS)}]) as double) as reg_param),
+b as (select f, reg_param, sign(r) * greatest(abs(r) - reg_param / sy, 0) * sy / sx as b, mx, my from s, g),
+m as (select f, reg_param, b, my - b * mx as a from b)
+select cast(f as int) as fold, reg_param, b as coefficient, a as intercept,
+       1 - sum((label - a - b * x) * (label - a - b * x)) / (count(*) * var_pop(label)) as r2
+from m join t on fold = f group by f, reg_param, b, a"""
+
+
+def _one_feature_cv(spark, sf_dir):
+    rows = M.add_folds(model_train_rows(spark, sf_dir)).withColumn("x", G.numeric_entries(["rent_amount"]))
+    return G.cross_validate(rows, LASSO_REGS, names=[("rent_amount", None)])
+
+
+@register("lasso_cv_folds", f"""
+select fold, reg_param, round(coefficient, 6) as coefficient, round(intercept, 6) as intercept, round(r2, 6) as r2
+from ({_LASSO_FOLDS_SQL})""")
+def q_lasso_cv_folds(spark, sf_dir):
+    """M1-M3: every candidate on every fold from one pass of fold statistics, against the closed form."""
+    cv = _one_feature_cv(spark, sf_dir)
+    rows = [(f, r, float(m.coefficients[0]), m.intercept, v) for r, f, m, v in cv.folds]
+    df = spark.createDataFrame(rows, "fold int, reg_param double, coefficient double, intercept double, r2 double")
+    return df.select("fold", "reg_param", *[F.round(c, 6).alias(c) for c in ("coefficient", "intercept", "r2")])
+
+
+@register("lasso_cv_best", f"""
+select arg_max(reg_param, avg_metric) as reg_param, round(max(avg_metric), 6) as avg_metric
+from (select reg_param, avg(r2) as avg_metric from ({_LASSO_FOLDS_SQL}) group by reg_param)""")
+def q_lasso_cv_best(spark, sf_dir):
+    """M4, F2: the best candidate of the cross-validation from fold statistics."""
+    best = M.best_params(G.candidates(spark, _one_feature_cv(spark, sf_dir)))
+    return best.select("reg_param", F.round("avg_metric", 6).alias("avg_metric"))
+
+
+@register("score_lasso_table", f"""
+with f as ({_LASSO_FOLDS_SQL}),
+best as (select arg_max(reg_param, m) as reg from (select reg_param, avg(r2) as m from f group by reg_param)),
+s as (select avg(rent_amount) as mx, avg(label) as my, stddev_pop(rent_amount) as sx, stddev_pop(label) as sy,
+             corr(rent_amount, label) as r from {TRAIN_ROWS_SQL}),
+b as (select sign(r) * greatest(abs(r) - reg / sy, 0) * sy / sx as b, mx, my from s, best)
+select id, default_amount as label, round(my - b * mx + b * rent_amount, 6) as prediction
+from {PAYMENTS}, b where id >= {CUT_SQL}""")
+def q_score_lasso_table(spark, sf_dir):
+    """The best model of the fold statistics saved as coefficient rows, read back, and the rows from the id cut up scored by it."""
+    cv = _one_feature_cv(spark, sf_dir)
+    table = materialize(G.coefficient_rows(spark, cv.best, cv.names), "coefficients")
+    rows = S.test_rows(payments(spark, sf_dir), _cut(spark, sf_dir)).select("id", "label", "rent_amount")
+    return G.score(rows, table, ["rent_amount"], []).select("id", "label", F.round("prediction", 6).alias("prediction"))
+
+
+_EFFECTS = ["name", "house_id", "house_zip"]
+
+
+@register("score_effects_table", f"""
+with t as (select * from {TRAIN_ROWS_SQL}), m as (select avg(label) as m from t),
+{', '.join(f"e_{c} as (select {c}, avg(label) - any_value(m) as e from t, m group by {c})" for c in _EFFECTS)}
+select id, default_amount as label, round(m + {' + '.join(f'coalesce(e_{c}.e, 0)' for c in _EFFECTS)}, 6) as prediction
+from {PAYMENTS} p cross join m {' '.join(f'left join e_{c} on p.{c} = e_{c}.{c}' for c in _EFFECTS)}
+where id >= {CUT_SQL}""")
+def q_score_effects_table(spark, sf_dir):
+    """M6 with a row per category value: the effects of name, house and zip on the label, as mean differences, looked up by value.
+    Values that the train rows do not hold add nothing."""
+    train = model_train_rows(spark, sf_dir)
+    mean = train.agg(F.avg("label").alias("_mean"))
+    parts = [mean.select(F.lit(G.INTERCEPT).alias("feature"), F.lit(None).cast("string").alias("value"), F.col("_mean").alias("coefficient"))]
+    for c in _EFFECTS:
+        effect = train.groupBy(F.col(c).cast("string").alias("value")).agg(F.avg("label").alias("_m"))
+        parts.append(effect.crossJoin(F.broadcast(mean)).select(F.lit(c).alias("feature"), "value", (F.col("_m") - F.col("_mean")).alias("coefficient")))
+    table = parts[0]
+    for p in parts[1:]:
+        table = table.unionByName(p)
+    rows = S.test_rows(payments(spark, sf_dir), _cut(spark, sf_dir)).select("id", "label", *_EFFECTS)
+    scored = G.score(materialize(rows, "scored-rows"), materialize(table, "coefficients"), [], _EFFECTS)
+    return scored.select("id", "label", F.round("prediction", 6).alias("prediction"))
+
+
+# ---------------------------------------------------------------- dictionary of categories
+
+DICT_SQL = f"""
+select "column", value, n, row_number() over (order by place, n desc, value) - 1 as slot
+from ({' union all '.join(f"select {i} as place, '{c}' as column, cast({c} as varchar) as value, count(*) as n from {TRAIN_ROWS_SQL} group by all"
+                           for i, c in enumerate(FE.CATEGORICAL))})"""
+
+
+@register("dictionary_slots", DICT_SQL)
+def q_dictionary_slots(spark, sf_dir):
+    """K1, K2: observed values of all categorical columns numbered by column and frequency, nothing per value on the driver."""
+    return DICT.build(model_train_rows(spark, sf_dir), FE.CATEGORICAL)
+
+
+@register("dictionary_encode", f"""
+with d as ({DICT_SQL})
+select id, {', '.join(f'd_{c}.slot as {c}_slot' for c in FE.CATEGORICAL)}
+from (select * from {PAYMENTS} where id >= {CUT_SQL}) p
+{' '.join(f"left join d d_{c} on d_{c}.column = '{c}' and d_{c}.value = cast(p.{c} as varchar)" for c in FE.CATEGORICAL)}""")
+def q_dictionary_encode(spark, sf_dir):
+    """The test rows encoded by the train rows' dictionary; unseen values have no slot."""
+    d = materialize(DICT.build(model_train_rows(spark, sf_dir), FE.CATEGORICAL), "slots")
+    rows = S.test_rows(payments(spark, sf_dir), _cut(spark, sf_dir)).select("id", *FE.CATEGORICAL)
+    return DICT.encode(materialize(rows, "encoded-rows"), d, FE.CATEGORICAL).drop(*FE.CATEGORICAL)
+
+
+# ---------------------------------------------------------------- options of SMOTE: votes, folds by parent
+
+def _vote_sql(c: str) -> str:
+    return f"""select id, nb_{c} as {c} from (select id, nb_{c}, row_number() over (partition by id
+      order by count(*) desc, nb_{c} nulls first) as rn from nbrs group by id, nb_{c}) where rn = 1"""
+
+
+@register("smote_vote", f"""
+with nbrs as ({knn_sql(K)}),
+{', '.join(f"v_{c} as ({_vote_sql(c)})" for c in SMOTE_DISCRETE)}
+select s.parent_id, s.copy, {', '.join(f'v_{c}.{c}' for c in SMOTE_DISCRETE)}, {', '.join(f's.{c}' for c in SMOTE_CONTINUOUS)}
+from ({smote_sql(K, SEED)}) s {' '.join(f'join v_{c} on v_{c}.id = s.parent_id' for c in SMOTE_DISCRETE)}""")
+def q_smote_vote(spark, sf_dir):
+    """Discrete attributes by majority vote of the k neighbours."""
+    from rentrisk.plans.sample import multiplier_of
+    train = S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir))
+    spec = SmoteSpec(SMOTE_DISCRETE, SMOTE_CONTINUOUS, K, multiplier_of(train), SEED, discrete_by="vote")
+    return synthetic_rows(smote_sample(spark, sf_dir), spec).withColumn("copy", F.col("copy").cast("int"))
+
+
+@register("fold_by_parent", smote_train_sql(K, SEED).replace(
+    "       name, age, house_id, house_zip, rent_amount, default_amount, is_syn\nfrom t",
+    f"       _src as parent_id, is_syn, cast({O.hash32(M.FOLD_SEED, '_src')} % {M.NUM_FOLDS} as int) as fold\nfrom t"))
+def q_fold_by_parent(spark, sf_dir):
+    """Folds of the train table by parent, so that no synthetic row is validated by a model that saw its parent."""
+    from rentrisk.plans.sample import sample_train
+    train = sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED, with_parent=True)
+    return M.add_folds(train, key="parent_id").select("id", "parent_id", "is_syn", "fold")

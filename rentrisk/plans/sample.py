@@ -58,11 +58,15 @@ def synthetic_train_rows(train: DataFrame, k: int, seed: int, mode: str = "exact
 
 
 def sample_train(payment: DataFrame, cut: int, *, k: int = 10, seed: int = 0, mode: str = "exact",
-                 id_seed: int | None = None, **lsh) -> DataFrame:
-    """Original train rows plus synthetic minority rows, renumbered 1..n in random order."""
+                 id_seed: int | None = None, with_parent: bool = False, **lsh) -> DataFrame:
+    """Original train rows plus synthetic minority rows, renumbered 1..n in random order.
+
+    ``with_parent`` adds ``parent_id``, the payment id of the row itself or of the row that a synthetic one was made from:
+    folds by it (``model.add_folds(key="parent_id")``) keep a row and its synthetic relatives together (T9).
+    """
     train = S.train_rows(payment, cut)
     orig = train.select(F.col("id").alias("_src"), F.lit(0).alias("_copy"), *TRAIN_COLUMNS[1:])
     syn = synthetic_train_rows(train, k, seed, mode, **lsh)
     both = union_by_first(orig, syn)
     ided = dense_random_id(both, seed if id_seed is None else id_seed, ["_src", "_copy"], distinct_keys=True)
-    return ided.select(*TRAIN_COLUMNS)
+    return ided.select(*TRAIN_COLUMNS, *[F.col("_src").alias("parent_id")] * with_parent)
