@@ -738,3 +738,92 @@ def q_fold_by_parent(spark, sf_dir):
     from rentrisk.plans.sample import sample_train
     train = sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED, with_parent=True)
     return M.add_folds(train, key="parent_id").select("id", "parent_id", "is_syn", "fold")
+
+
+# ---------------------------------------------------------------- catalog tables, files, order, model versions
+
+from rentrisk.operators import order as ORD  # noqa: E402
+from rentrisk.operators import versions as V  # noqa: E402
+from rentrisk.sources import tables as TB  # noqa: E402
+from rentrisk.sources.delimited import RAW_SCHEMA  # noqa: E402
+
+
+def _database(spark: SparkSession) -> str:
+    """A named database of its own in the shared folder."""
+    path = scratch_path(spark, "rent")
+    name = "rent_" + path.rsplit("-", 1)[1]
+    TB.create_database(spark, name, path)
+    return name
+
+
+@register("raw_catalog_scan", ORACLES["scan_delimited"])
+def q_raw_catalog_scan(spark, sf_dir):
+    """The raw text as an external table of a named database, scanned as db.table."""
+    path, db = scratch_path(spark, "raw"), _database(spark)
+    write_delimited(derived_raw(spark, sf_dir, with_key=False), path)
+    TB.external_text_table(spark, f"{db}.raw", path, RAW_SCHEMA)
+    return spark.table(f"{db}.raw")
+
+
+@register("test_table_append", " union all ".join(
+    f"select 'prediction_{m}' as model, * from ({METRIC_SQL.replace('l_linenumber * 7', f'l_linenumber * {m}')})" for m in (7, 6)))
+def q_test_table_append(spark, sf_dir):
+    """Metrics rows of two models appended to the test table through the catalog, one after the other, and read back."""
+    name = f"{_database(spark)}.test"
+    TB.report_table(spark, name, scratch_path(spark, "test"),
+                    "model string, r2 double, explained_var double, mae double, mse double, rmse double")
+    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    for m in (7, 6):
+        fixed = li.select(F.col("l_quantity").alias("label"), (F.col("l_linenumber") * m).cast("double").alias("prediction"))
+        TB.append_report(report_row(regression_metrics(fixed), f"prediction_{m}"), name)
+    return _rounded(spark.table(name))
+
+
+_VERSIONS = [("20190326_010000", [20.0]), ("20190326_020000", [0.1, 1.0]), ("20190326_030000", [1.0, 20.0])]
+
+
+@register("model_versions", f"""
+with a as (select reg_param, avg(r2) as m from ({_LASSO_FOLDS_SQL}) group by reg_param),
+v(version, reg_param) as (values {', '.join(f"('{v}', cast({r} as double))" for v, regs in _VERSIONS for r in regs)}),
+r as (select version, reg_param, m, m = max(m) over (partition by version) as chosen from v join a using (reg_param)),
+b as (select arg_max(version, (m, version)) as version from r where chosen)
+select version, reg_param, round(m, 6) as avg_metric, chosen, version = (select version from b) and chosen as loaded from r""")
+def q_model_versions(spark, sf_dir):
+    """Three fits saved under their times, a row per candidate in the validation table, the best found again by its report."""
+    name, prefix = f"{_database(spark)}.validation", scratch_path(spark, "model/lasso")
+    TB.report_table(spark, name, scratch_path(spark, "validation"), V.REPORT)
+    rows = M.add_folds(model_train_rows(spark, sf_dir)).withColumn("x", G.numeric_entries(["rent_amount"]))
+    rows = materialize(rows.select("x", "label", "fold"), "model-rows")
+    for suffix, regs in _VERSIONS:
+        cv = G.cross_validate(rows, regs, names=[("rent_amount", None)])
+        TB.append_report(V.report(spark, cv, V.save(spark, cv, prefix, suffix)), name)
+    reports = spark.table(name)
+    best = V.best(reports).first()
+    # the saved version is there and holds an intercept
+    held = V.load(spark, best["model"]).where(F.col("feature") == G.INTERCEPT).select(F.lit(best["model"]).alias("_model"))
+    out = reports.join(F.broadcast(held), F.col("model") == F.col("_model"), "left")
+    return out.select(F.regexp_extract("model", r"_(\d{8}_\d{6})$", 1).alias("version"), "reg_param",
+                      F.round("avg_metric", 6).alias("avg_metric"), "chosen",
+                      (F.col("_model").isNotNull() & F.col("chosen")).alias("loaded"))
+
+
+@register("files_by_size", f"""
+select '{DS}' as ds, cast(1 as bigint) as files, count(*) as rows from {PAYMENTS} where default_amount <> 0
+union all select '{DS_PREV}', 4, count(*) from {PAYMENTS}""")
+def q_files_by_size(spark, sf_dir):
+    """Files per partition as the files' metadata tell: few rows fill one file of the asked size, four files are four."""
+    schema, p = payments(spark, sf_dir, keep_key=False).schema, payments(spark, sf_dir, keep_key=False)
+    path = scratch_path(spark, "files")
+    name = "files_" + path.rsplit("-", 1)[1]
+    Table(name=name, path=path, schema=schema, file_bytes=128 << 20).create(spark).overwrite(S.minority(p), DS)
+    Table(name=name, path=path, schema=schema, num_files=4).overwrite(p, DS_PREV)
+    return TB.files_per_partition(spark, name).select("ds", "files", "rows")
+
+
+@register("ordered_positions", f"""
+select id, row_number() over (order by id) as position from {PAYMENTS} where id >= {CUT_SQL}""")
+def q_ordered_positions(spark, sf_dir):
+    """the test rows written in the order of their ids over all files; a row's place is read back from the files."""
+    path = scratch_path(spark, "ordered")
+    ORD.write_ordered(S.test_rows(payments(spark, sf_dir), _cut(spark, sf_dir)), path, "id")
+    return ORD.read_positions(spark, path).select("id", "position")

@@ -67,6 +67,7 @@ def sample_train(payment: DataFrame, cut: int, *, k: int = 10, seed: int = 0, mo
     train = S.train_rows(payment, cut)
     orig = train.select(F.col("id").alias("_src"), F.lit(0).alias("_copy"), *TRAIN_COLUMNS[1:])
     syn = synthetic_train_rows(train, k, seed, mode, **lsh)
-    both = union_by_first(orig, syn)
+    # written once: the numbering reads its rows twice, for the sizes of its buckets and for the ranks in them
+    both = materialize(union_by_first(orig, syn), "train-rows")
     ided = dense_random_id(both, seed if id_seed is None else id_seed, ["_src", "_copy"], distinct_keys=True)
     return ided.select(*TRAIN_COLUMNS, *[F.col("_src").alias("parent_id")] * with_parent)

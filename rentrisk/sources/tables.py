@@ -8,7 +8,7 @@ alone and registers the partition in the catalog as part of the same write.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,10 @@ def _ddl_type(dt: T.DataType) -> str:
 
 @dataclass
 class Table:
-    """A ``ds``-partitioned table at ``path`` in format ``fmt`` (``parquet`` or ``orc``)."""
+    """A ``ds``-partitioned table at ``path`` in format ``fmt`` (``parquet`` or ``orc``).
+
+    Files per write (B6): ``files_per_bucket`` of a bucketed table; ``num_files``, or about ``file_bytes`` each, of another.
+    """
 
     name: str
     path: str
@@ -34,7 +37,7 @@ class Table:
     sort_col: str | None = None
     files_per_bucket: int | None = None
     num_files: int | None = None
-    extra: dict = field(default_factory=dict)
+    file_bytes: int | None = None
 
     # ---------------------------------------------------------------- DDL
     def create(self, spark: SparkSession) -> "Table":
@@ -66,15 +69,32 @@ class Table:
             out = out.repartition(self.num_buckets * per, self.bucket_col)
         elif self.num_files:
             out = out.repartition(self.num_files)
+        elif self.file_bytes:
+            # rows are dealt into as many files as their measured shuffle bytes ask for
+            out = out.hint("rebalance")
         return out
 
+    def _write(self, df: DataFrame, ds: str, overwrite: bool) -> None:
+        """The adaptive planner sizes the files by shuffle bytes; its settings hold for this write only."""
+        conf = df.sparkSession.conf
+        wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(self.file_bytes),
+                  "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"} if self.file_bytes else {}
+        before = {k: conf.get(k, None) for k in wanted}
+        try:
+            for k, v in wanted.items():
+                conf.set(k, v)
+            self._prepared(df, ds).write.insertInto(self.name, overwrite=overwrite)
+        finally:
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
+
     def overwrite(self, df: DataFrame, ds: str) -> None:
         spark = df.sparkSession
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        self._prepared(df, ds).write.insertInto(self.name, overwrite=True)
+        self._write(df, ds, overwrite=True)
 
     def append(self, df: DataFrame, ds: str) -> None:
-        self._prepared(df, ds).write.insertInto(self.name, overwrite=False)
+        self._write(df, ds, overwrite=False)
 
     def add_partition(self, spark: SparkSession, ds: str, location: str | None = None) -> None:
         """Register a partition at a location; a no-op when it exists."""
@@ -133,3 +153,31 @@ def payment_table(name: str, path: str, num_buckets: int = 16, files_per_bucket:
 
 def train_table(name: str, path: str, num_files: int | None = None) -> Table:
     return Table(name=name, path=path, schema=train_schema(), num_files=num_files)
+
+
+def external_text_table(spark: SparkSession, name: str, path: str, schema: T.StructType, sep: str = ",") -> None:
+    """Delimited text below ``path`` as a catalog table, read as ``sources.delimited`` reads it; dropping it leaves the files."""
+    cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in schema.fields)
+    _mkdirs(spark, path)
+    # an option of the table needs its backslash escaped once more than one of the reader
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING csv OPTIONS (sep '{sep}', quote '', escape '', header 'false', "
+              f"nullValue '\\\\N', emptyValue '', mode 'PERMISSIVE') LOCATION '{path}'")
+
+
+def report_table(spark: SparkSession, name: str, path: str, schema: str) -> None:
+    """An unpartitioned Parquet table for report rows."""
+    _mkdirs(spark, path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet LOCATION '{path}'")
+
+
+def append_report(df: DataFrame, name: str) -> None:
+    """Append report rows through the catalog, columns by name."""
+    table = df.sparkSession.table(name)
+    df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields]).coalesce(1).write.insertInto(name, overwrite=False)
+
+
+def files_per_partition(spark: SparkSession, name: str) -> DataFrame:
+    """``ds, files, bytes, rows`` of a table, from the files' own metadata."""
+    rows = spark.table(name).select(PARTITION_COL, "_metadata.file_path", "_metadata.file_size")
+    files = rows.groupBy(PARTITION_COL, "file_path").agg(F.max("file_size").alias("size"), F.count(F.lit(1)).alias("n"))
+    return files.groupBy(PARTITION_COL).agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"), F.sum("n").alias("rows"))
