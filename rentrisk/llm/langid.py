@@ -4,9 +4,10 @@ A text's letters and white space are cut into overlapping byte n-grams of two to
 count as a space. Each n-gram is hashed to one of ``BUCKETS`` embeddings, the text's embedding is
 their mean, and a linear softmax over it gives the languages. Embeddings and weights are trained
 together by stochastic gradient descent in numpy on a bounded sample of labelled rows
-(``Settings.per_language`` different rows of each language; more than ``Settings.languages`` languages
-are an error, as each one left out would be predicted wrong), of
-whose whole texts Spark's tasks send back only bucket counts. A part of the sample sets the
+(``Settings.per_language`` different rows of each language, fewer where languages are so many that these would be more than
+``Settings.rows``, one of each at least), of whose whole texts Spark's tasks send back only bucket counts. Rows are drawn by a hash: those
+below a threshold from the number of a language's rows, about twice as many as are needed, and of those the lowest, so that
+no task sees more of a language than that. A part of the sample sets the
 temperature that calibrates the probabilities and the rejection level: the score under which the
 calibrated answers are wrong too often (extra column ``accepted``).
 
@@ -33,13 +34,15 @@ from pyspark.sql.window import Window
 from rentrisk.llm.common import mix64, row_chunks, small_batches, utf8
 
 BUCKETS = 1 << 13
+#: Draws are told apart by this many values against a language's threshold.
+DRAWS = 1 << 40
 ORDERS = (2, 3, 4)
 
 
 @dataclass(frozen=True)
 class Settings:
     per_language: int = 400
-    languages: int = 64
+    rows: int = 25_600
     dim: int = 16
     epochs: int = 30
     batch: int = 32
@@ -116,8 +119,29 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def fit(names: list[str], x: np.ndarray, y: np.ndarray, s: Settings) -> Model:
-    """Stochastic gradient descent on mean embeddings ``x`` (rows: bucket shares) and classes ``y``."""
+class Shares:
+    """Rows of bucket shares, kept sparse; an index gives them as a dense array."""
+
+    def __init__(self, buckets: list, counts: list):
+        self.rows = [(np.asarray(b, np.int64), np.asarray(c, np.float64) / max(1, sum(c))) for b, c in zip(buckets, counts)]
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, part: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(part), BUCKETS), np.float32)
+        for i, j in enumerate(part):
+            at, share = self.rows[j]
+            out[i, at] = share
+        return out
+
+    def times(self, part: np.ndarray, table: np.ndarray) -> np.ndarray:
+        runs = [self[part[f:f + 256]] @ table for f in range(0, len(part), 256)]
+        return np.concatenate(runs) if runs else np.zeros((0, table.shape[1]), np.float32)
+
+
+def fit(names: list[str], x: Shares, y: np.ndarray, s: Settings) -> Model:
+    """Stochastic gradient descent on mean embeddings of the rows ``x`` and classes ``y``."""
     rng = np.random.default_rng(s.seed)
     order = rng.permutation(len(y))
     held = max(1, int(len(y) * s.calibration)) if len(y) > 3 else 0
@@ -145,7 +169,7 @@ def fit(names: list[str], x: np.ndarray, y: np.ndarray, s: Settings) -> Model:
             emb -= rate * 100 * (xb.T @ gh)
     m = Model(names, (emb @ w).astype(np.float32), b)
     if held:
-        logits = x[hold] @ m.table + m.bias
+        logits = x.times(hold, m.table) + m.bias
         losses = []
         for t in np.geomspace(0.1, 10, 41):
             m.temperature = float(t)
@@ -173,15 +197,22 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
                        ).filter("lang is not null and text is not null")
-    if rows.select("lang").distinct().limit(settings.languages + 1).count() > settings.languages:
-        raise ValueError(f"more than {settings.languages} languages; set Settings.languages for more")
-    draw = F.xxhash64(F.col("key"), F.lit(settings.seed))
-    w = Window.partitionBy("lang").orderBy("_draw", "key", "text")
     # the draw needs keys only; the drawn keys then fetch their texts
-    keys = (rows.select("key", "lang", F.xxhash64("text").alias("text")).withColumn("_draw", draw)
-            .withColumn("_n", F.dense_rank().over(w)).filter(F.col("_n") <= settings.per_language)
-            .select(F.col("key").alias("k"), F.col("lang").alias("l"), F.col("text").alias("t")))
-    drawn = rows.join(keys, F.col("key").eqNullSafe(F.col("k")) & (F.col("lang") == F.col("l"))
+    keys = rows.select("key", "lang", F.xxhash64("text").alias("text"))
+    keys = keys.withColumn("_draw", F.xxhash64("key", "text", F.lit(settings.seed)))
+    # a row per language, of which the model holds a column each
+    found = keys.groupBy("lang").agg(F.approx_count_distinct("_draw").alias("n")).collect()
+    if not found:
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
+    each = max(1, min(settings.per_language, settings.rows // len(found)))
+    limits = [(r["lang"], int(min(1.0, 2 * max(each, 50) / max(1, r["n"])) * DRAWS)) for r in found]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, _limit long")
+    low = keys.join(F.broadcast(limits), "lang").filter(F.pmod("_draw", F.lit(DRAWS)) < F.col("_limit"))
+    w = Window.partitionBy("lang").orderBy("_draw", "key", "text")
+    # copies are one row before they meet
+    keys = (low.select("key", "lang", "text", "_draw").distinct().withColumn("_n", F.row_number().over(w))
+            .filter(F.col("_n") <= each).select(F.col("key").alias("k"), F.col("lang").alias("l"), F.col("text").alias("t")))
+    drawn = rows.join(F.broadcast(keys), F.col("key").eqNullSafe(F.col("k")) & (F.col("lang") == F.col("l"))
                       & (F.xxhash64("text") == F.col("t")), "left_semi")
     # a drawn row brings all its copies; one stays
     drawn = drawn.select("key", "lang", "text", F.xxhash64("text").alias("_t")).dropDuplicates(["key", "lang", "_t"])
@@ -189,12 +220,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
            .mapInArrow(count_rows, "lang string, buckets array<int>, counts array<bigint>")
            .orderBy("lang", "buckets", "counts").collect())
     names = sorted({r["lang"] for r in got})
-    x = np.zeros((len(got), BUCKETS), np.float32)
-    for i, r in enumerate(got):
-        if r["buckets"]:
-            x[i, r["buckets"]] = np.asarray(r["counts"], np.float64) / sum(r["counts"])
-    if not names:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
+    x = Shares([r["buckets"] for r in got], [r["counts"] for r in got])
     return fit(names, x, np.array([names.index(r["lang"]) for r in got]), settings)
 
 

@@ -163,8 +163,6 @@ def test_language_sample_holds_every_language(spark):
     assert model.names == ["aa", "bb", "cc"]
     probe = spark.createDataFrame(list(enumerate(words.values())), "doc_id long, text string")
     assert {r.doc_id: r.lang_pred for r in langid.predict(probe, model).collect()} == dict(enumerate(words))
-    with pytest.raises(ValueError):
-        langid.train(docs, settings=langid.Settings(languages=2))
 
 
 def test_quality_edge(edge, empty):
@@ -210,6 +208,41 @@ def test_mixing_parts():
     assert Counter({s: sum(c for _, t, _, c in drawn if t == s) for s in (0, 2)}) == {0: 5, 2: 17}
 
 
+def test_language_draw_is_bounded_and_many_languages_learn(spark):
+    rows = [(70 * i + c, f"l{c:02d}", f"{chr(97 + c % 26)}{chr(97 + c // 3)}o{chr(97 + c % 26)} " * 20) for c in range(70) for i in range(8)]
+    copies = [(100_000, "l00", "aaoa " * 20)] * 500
+    schema = "doc_id long, lang string, text string"
+    model = langid.train(spark.createDataFrame(rows + copies, schema), settings=langid.Settings(rows=560, epochs=60))
+    assert len(model.names) == 70
+    got = langid.predict(spark.createDataFrame(rows, schema), model).collect()
+    right = {k: lang for k, lang, _ in rows}
+    assert np.mean([r.lang_pred == right[r.doc_id] for r in got]) > 0.9
+
+
+def _plain_probabilities(model, text):
+    """A text's score by counting its n-grams one by one."""
+    plain = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in text.encode())
+    total, n = np.zeros(len(model.names)), 0
+    for k in langid.ORDERS:
+        for i in range(len(plain) - k + 1):
+            code = int.from_bytes(plain[i:i + k], "little") + (k << 40)
+            total += model.table[(code * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 51].astype(np.float64)
+            n += 1
+    z = (total / max(n, 1) + model.bias) / model.temperature
+    z = np.exp(z - z.max())
+    return z / z.sum()
+
+
+def test_language_scores_brute_force(spark):
+    docs = docs_of(spark, SF001)
+    model = langid.train(docs.filter(~langid.in_fold("doc_id")))
+    texts = [t or "" for _, t in pairs_of(docs.orderBy("doc_id").limit(40))] + ["a", "é", "ab", "Ab C", "x1y2", "ß" * 500, "a\n\nb"]
+    probe = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.predict(probe, model).collect():
+        p = _plain_probabilities(model, texts[r.doc_id])
+        assert abs(r.score - p.max()) < 1e-5 and r.lang_pred == model.names[int(p.argmax())], r.doc_id
+
+
 @cache
 def _library():
     """The library as the contract names it, apart from the operator's own."""
