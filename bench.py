@@ -65,7 +65,7 @@ def main() -> None:
 
     # ---- headline operators on the driver's tables
     for name in ["clean_payments", "dense_random_id", "scan_delimited", "class_counts", "knn_exact", "knn_lsh",
-                 "smote_exact", "assemble_long", "regression_metrics"]:
+                 "smote_exact", "assemble_long", "regression_metrics", "lasso_cv_folds", "dictionary_encode"]:
         timed(name, lambda name=name: noop(Q.QUERIES[name](spark, SF_DIR)))
 
     total = round(sum(v for k, v in times.items() if k.startswith("flow_")), 3)

@@ -827,3 +827,18 @@ def q_ordered_positions(spark, sf_dir):
     path = scratch_path(spark, "ordered")
     ORD.write_ordered(S.test_rows(payments(spark, sf_dir), _cut(spark, sf_dir)), path, "id")
     return ORD.read_positions(spark, path).select("id", "position")
+
+
+@register("rows_with_schema", CLASS_COUNTS_SQL)
+def q_rows_with_schema(spark, sf_dir):
+    """A4: rows held by the driver (the one of the class counts) made a frame by a schema."""
+    counts = S.class_counts(S.train_rows(payments(spark, sf_dir), _cut(spark, sf_dir)))
+    return R.to_df(spark, [tuple(r) for r in counts.collect()], "majority bigint, minority bigint")
+
+
+@register("time_suffixes", "select o_orderkey, strftime(o_orderdate, '%Y%m%d_%H%M%S') as suffix from orders")
+def q_time_suffixes(spark, sf_dir):
+    """Timestamps as the suffixes of model versions."""
+    from rentrisk.functions.dates import time_suffix
+    orders = spark.read.parquet(table_path(sf_dir, "orders"))
+    return orders.select("o_orderkey", time_suffix("o_orderdate").alias("suffix"))
