@@ -1,9 +1,8 @@
-"""Removal of repeated byte strings by distributed, sparse prefix doubling.
+"""Removal of repeated byte strings over a sample of positions that every repeat must hit.
 
 A byte goes if a string of ``LENGTH`` bytes covers it that also starts earlier: in a smaller document, or
-earlier in the same one. Plain prefix doubling sorts a (position, rank, next rank) row for every
-byte in every round, about fifty times the input. Here the same ranking runs over a sample of the
-positions that every repeated string is bound to hit:
+earlier in the same one. This is minimizer sampling with full-window hashes, not prefix doubling by Spark sorts, which would
+sort a (position, rank, next rank) row for every byte in every round:
 
 1. *Names by doubling*: the name of 2k bytes is the pair of the names of k bytes at i and i + k, to 32 bytes;
    equal strings have equal 64-bit names. Every window of ``LENGTH`` bytes picks the smallest name in it as its
@@ -12,7 +11,7 @@ positions that every repeated string is bound to hit:
    end), about one for 35 bytes.
 2. *First sort*, by name: rows whose name is unique are done. Rows of the same name and bytes as an earlier
    row lie in earlier text as a whole: their bytes go. The first row of each kind stays for the next round
-   if its name has others with different bytes around it.
+   if its name has others with different bytes around it. Names that very many rows have are dealt by name and bytes.
 3. *Second sort*, past the threshold: those rows' windows are named in full (``LENGTH`` bytes), and of each name all
    windows but the first go.
 
@@ -46,6 +45,8 @@ PLACE_BITS = 21
 _NAME = random64(256, 21)
 _BYTE = random64(256, 22)
 CANDIDATE, GONE, OPEN = 0, 1, 2
+#: A name is hot from one row in ``SHARE`` on, as one document in ``PART`` shows.
+SHARE, PART = 1000, 64
 ROW = "kind int, name long, whole long, d long, fp long, s long, e long"
 
 
@@ -236,14 +237,28 @@ def final_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(columns[4], pa.binary())], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def first_only(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``rank`` among those of the same names, ties of one place alike; rows alike are sorted once.
+def often(rows: DataFrame, length: int) -> list[int]:
+    """Names that more than about one row in ``SHARE`` has, from one document in ``PART``: fewer than ``SHARE`` numbers.
 
-    Rows of one name lie in many tasks, those of the same ``whole`` in one. Rows alike in these have one ``e``; it is
-    in the order so that all readers of the rows need all columns and share the exchange.
+    They only decide how rows are dealt over tasks; the result does not depend on them.
     """
-    w = Window.partitionBy("name", "kind", "whole").orderBy("d", "fp", "s", "e")
-    return rows.repartition("name", "whole").withColumn("rank", F.rank().over(w))
+    some = rows.filter(F.pmod("fp", F.lit(PART)) == 0).mapInArrow(sample_rows(length), ROW).filter(F.col("kind") == CANDIDATE)
+    counts = materialize(some.groupBy("name").count().filter(F.col("count") > 8), "often")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    return [r["name"] for r in counts.filter(F.col("count") > total / SHARE).collect()]
+
+
+def dealt(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """``rows`` with those of one name in one task, of a hot name with those of the same ``whole`` only; ``rank`` among those
+    of the same names, ties of one place alike.
+
+    Rows next to each other share their name, so dealing by the name alone keeps them together, which shuffles smaller.
+    """
+    is_hot = F.col("name").isin(hot) if hot else F.lit(False)
+    rows = rows.withColumn("hot", is_hot).withColumn(
+        "deal", F.when(F.col("hot"), F.xxhash64("name", "whole")).otherwise(F.col("name"))).repartition("deal")
+    w = Window.partitionBy("deal", "name", "kind", "whole").orderBy("d", "fp", "s")
+    return rows.withColumn("rank", F.rank().over(w))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -256,22 +271,22 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("fp"), F.col(key).alias("key"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    found = rows.select("d", "fp", "text").mapInArrow(sample_rows(length), ROW)
-    ranked = first_only(found)
-    # in one piece, and null-safe below: a condition on kind or name alone would be pushed under one reader's exchange
-    first = F.when(F.col("kind") == CANDIDATE, F.col("rank")).otherwise(0) == 1
-    # names with different bytes around them; each task adds up its own rows of a name before they are dealt by name
-    several = (ranked.filter(first).groupBy(F.col("name").alias("n")).agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"))
-               .filter("lo != hi").select("n"))
-    settled = ranked.filter((F.col("kind") == GONE) | (F.col("rank") > 1)).withColumn("kind", F.lit(GONE))
-    unsettled = ranked.filter(first).join(several, F.col("name").eqNullSafe(F.col("n")), "left_semi").withColumn("kind", F.lit(OPEN))
-    hits = settled.unionByName(unsettled).select("kind", "name", "d", "fp", "s", "e")
+    hot = often(rows.select("d", "fp", "text"), length)
+    ranked = dealt(rows.select("d", "fp", "text").mapInArrow(sample_rows(length), ROW), hot)
+    first = (F.col("kind") == CANDIDATE) & (F.col("rank") == 1)
+    # names with different bytes around them; those of hot names are looked at without asking
+    own = Window.partitionBy("deal", "name")
+    whole = F.when(first, F.col("whole"))
+    ranked = ranked.withColumn("several", F.col("hot") | (F.min(whole).over(own) < F.max(whole).over(own)))
+    settled = (F.col("kind") == GONE) | (F.col("rank") > 1)
+    hits = ranked.filter(settled | F.col("several")).select(
+        F.when(settled, F.lit(GONE)).otherwise(F.lit(OPEN)).alias("kind"), "name", "d", "fp", "s", "e")
     hits = materialize(hits, "repeats")
 
     todo = (hits.filter(F.col("kind") == OPEN).groupBy("d", "fp")
             .agg(F.collect_set(F.struct("name", "s", "e")).alias("runs")))
     windows = rows.join(todo, ["d", "fp"]).select("d", "fp", "key", "text", "runs").mapInArrow(window_rows(length), ROW)
-    later = first_only(windows).filter((F.col("kind") == GONE) | (F.col("rank") > 1))
+    later = dealt(windows, hot).filter((F.col("kind") == GONE) | (F.col("rank") > 1))
     gone = (hits.filter(F.col("kind") == GONE).select("d", "fp", "s", "e").unionByName(later.select("d", "fp", "s", "e"))
             .groupBy("d", "fp").agg(F.collect_list(F.struct("s", "e")).alias("ranges")))
     out = rows.join(gone, ["d", "fp"], "left").select("key", "text", "ranges")
