@@ -484,3 +484,24 @@ def test_stages_leave_other_columns_alone(spark, edge, empty):
     packed = corpus_pipeline.STAGES[-1][1]
     assert packed(spark, docs, SF001).agg(F.count_distinct("doc_id")).first()[0] == 12
     assert packed(spark, docs.limit(0), SF001).count() == 0
+
+
+def test_pipeline_run(spark):
+    """The whole run on the given documents: rejected ones and all but one of each group are gone, sequences are gapless."""
+    docs = docs_of(spark, SF001)
+    out = corpus_pipeline.run(spark, SF001).collect()
+    ids = {r["doc_id"] for r in out}
+    good = {r["doc_id"] for r in quality.judge(docs).filter("kept").collect()}
+    stays = {r["doc_id"] for r in minhash.near_duplicates(docs.filter(F.col("doc_id").isin(list(good))), width=5, percent=80).filter("kept").collect()}
+    assert ids and ids <= stays < good
+    # the mix takes most of what it is offered
+    assert len(ids) > 0.5 * len(stays)
+    sequences = defaultdict(list)
+    for r in out:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at and length > 0
+            at += length
+        assert at <= packing.CAPACITY
