@@ -255,8 +255,9 @@ def dealt(rows: DataFrame, hot: list[int]) -> DataFrame:
     Rows next to each other share their name, so dealing by the name alone keeps them together, which shuffles smaller.
     """
     is_hot = F.col("name").isin(hot) if hot else F.lit(False)
-    rows = rows.withColumn("hot", is_hot).withColumn(
-        "deal", F.when(F.col("hot"), F.xxhash64("name", "whole")).otherwise(F.col("name"))).repartition("deal")
+    deal = F.when(is_hot, F.xxhash64("name", "whole")).otherwise(F.col("name"))
+    # columns of the names are added behind the exchange, which need not carry them
+    rows = rows.repartition(deal).withColumn("deal", deal).withColumn("hot", is_hot)
     w = Window.partitionBy("deal", "name", "kind", "whole").orderBy("d", "fp", "s")
     return rows.withColumn("rank", F.rank().over(w))
 
