@@ -3,18 +3,26 @@
 Folds come from a hash of the row id (``foldCol``), so they are reproducible and
 independent of partitioning. Candidate models fit on executors; the driver only
 holds the fitted coefficients, the parameter grid and the average metrics.
+
+With ``encoding="dictionary"`` the category values are numbered by ``operators.dictionary`` and the rows' sparse vectors are written once,
+for all folds and candidates. StringIndexer, OneHotEncoder and VectorAssembler would hold every name on the driver, once per stage and fit, and name
+every slot in the metadata of their columns. A name that a training fold lacks is a constant feature there, whose coefficient is 0, as that of
+the slot for unseen names is in a pipeline fitted on the fold.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentrisk.functions.hashing import hash32
-from rentrisk.operators.features import HASHED_WIDTH, lasso, pipeline
+from rentrisk.operators import dictionary as DICT
+from rentrisk.operators.features import CATEGORICAL, HASHED_WIDTH, age_buckets, lasso, pipeline
+from rentrisk.session import materialize
 
 # Fixed values of the reference's validator.
 REG_PARAMS = [1.0, 0.1]
@@ -30,7 +38,8 @@ def add_folds(df: DataFrame, seed: int = FOLD_SEED, num_folds: int = NUM_FOLDS,
 def cross_validator(reg_params=REG_PARAMS, num_folds: int = NUM_FOLDS, parallelism: int = PARALLELISM,
                     max_iter: int = 3, seed: int = FOLD_SEED, encoding: str = "index",
                     width: int = HASHED_WIDTH) -> CrossValidator:
-    """The reference's validator; ``encoding='hash'`` swaps index + one-hot for feature hashing."""
+    """The reference's validator; ``encoding='hash'`` swaps index + one-hot for feature hashing, ``'dictionary'`` for the slots of
+    ``operators.dictionary`` (the same models, without the values on the driver)."""
     est = lasso(max_iter=max_iter)
     grid = ParamGridBuilder().addGrid(est.regParam, list(reg_params)).build()
     return CrossValidator(estimator=pipeline(est, encoding, width), estimatorParamMaps=grid,
@@ -38,20 +47,62 @@ def cross_validator(reg_params=REG_PARAMS, num_folds: int = NUM_FOLDS, paralleli
                           parallelism=parallelism, seed=seed, foldCol="fold")
 
 
+def takes_vectors(estimator) -> bool:
+    """Whether a pipeline has no feature stages: its rows come from ``encoded``."""
+    return len(estimator.getStages()) == 1
+
+
+def encoded(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``rows`` with ``features``: the dictionary's slots, one for names that it does not hold (NULL among them), age bucket and rent.
+
+    Other values that it does not hold have no entry. As with the index stages, a NULL number and a negative house or zip are errors.
+    """
+    def number(c: str):
+        bad = F.col(c).isNull() | (F.col(c) < 0 if c in CATEGORICAL else F.lit(False))
+        return F.when(~bad, F.col(c)).otherwise(F.raise_error(F.lit(f"{c} is null or negative")))
+
+    columns = rows.columns
+    rows = rows.withColumns({c: number(c) for c in ("house_id", "house_zip", "age", "rent_amount")})
+    rows = materialize(age_buckets().transform(rows), "model-rows")
+    # written per column: the next one reads the rows several times
+    for c in CATEGORICAL:
+        rows = materialize(DICT.encode(rows, dictionary, [c]), "model-coded")
+    p = dictionary.count()
+    slot = {c: F.col(f"{c}_slot") for c in CATEGORICAL}
+    entry = lambda i, v: F.struct(i.cast("int").alias("i"), v.cast("double").alias("v"))
+    found = F.array(*[entry(s, F.lit(1.0)) for s in slot.values()],
+                    entry(F.when(slot["name"].isNull(), F.lit(p)), F.lit(1.0)),
+                    entry(F.lit(p + 1), F.col("age_buckets")), entry(F.lit(p + 2), F.col("rent_amount")))
+    # slots ascend with the columns
+    found = F.filter(found, lambda e: e["i"].isNotNull() & (e["v"] != 0))
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(p + 3).alias("size"), found["i"].alias("indices"), found["v"].alias("values"))
+    out = materialize(rows.select(*columns, vector.alias("features")), "model-vectors")
+    # a vector is stored as this struct: read back as one
+    schema = T.StructType([f if f.name != "features" else T.StructField("features", VectorUDT()) for f in out.schema])
+    return out.sparkSession.read.schema(schema).parquet(*out.inputFiles())
+
+
 def fit(train: DataFrame, cv: CrossValidator | None = None, seed: int = FOLD_SEED) -> CrossValidatorModel:
     cv = cv or cross_validator(seed=seed)
     data = add_folds(train, seed, cv.getNumFolds())
     # every CV pass scans this frame: give each core a partition if it has fewer
     cores = train.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < cores:
-        data = data.repartition(cores)
-    data = data.persist()
+    if takes_vectors(cv.getEstimator()):
+        dictionary = materialize(DICT.build(train, CATEGORICAL), "model-dictionary")
+        cvm = cv.fit(spread(encoded(data, dictionary).select("features", "label", "fold"), cores))
+        cvm.dictionary = dictionary
+        return cvm
+    data = spread(data, cores).persist()
     try:
         return cv.fit(data)
     finally:
         data.unpersist()
 
 
+def spread(data: DataFrame, cores: int) -> DataFrame:
+    return data.repartition(cores) if data.rdd.getNumPartitions() < cores else data
+
+
 def candidates(spark: SparkSession, cvm: CrossValidatorModel) -> DataFrame:
     """One row per candidate: its regParam and mean validation metric."""
     rows = []
@@ -89,13 +140,18 @@ def validation_report(spark: SparkSession, cvm: CrossValidatorModel, model_path:
 
 def save(cvm: CrossValidatorModel, path: str) -> str:
     cvm.write().overwrite().save(path)
+    if takes_vectors(cvm.getEstimator()):
+        cvm.dictionary.write.parquet(f"{path}/dictionary")
     return path
 
 
 def load(path: str) -> CrossValidatorModel:
-    return CrossValidatorModel.load(path)
+    cvm = CrossValidatorModel.load(path)
+    if takes_vectors(cvm.getEstimator()):
+        cvm.dictionary = SparkSession.active().read.parquet(f"{path}/dictionary")
+    return cvm
 
 
 def score(cvm: CrossValidatorModel, rows: DataFrame) -> DataFrame:
     """M6: predictions for rows with the pipeline's input columns."""
-    return cvm.transform(rows)
+    return cvm.transform(encoded(rows, cvm.dictionary) if takes_vectors(cvm.getEstimator()) else rows)

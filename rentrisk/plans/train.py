@@ -26,7 +26,7 @@ def train_flow(spark: SparkSession, train_table: DataFrame, model_prefix: str, r
                suffix: str | None = None, **cv_kw):
     """Fit the CV pipeline on the whole train table; save the model; append the validation row."""
     rows = S.model_rows(train_table)
-    cvm = M.fit(rows, M.cross_validator(**cv_kw) if cv_kw else None)
+    cvm = M.fit(rows, M.cross_validator(**{"encoding": "dictionary", **cv_kw}))
     path = f"{model_prefix}_{suffix or utc_suffix(spark)}"
     M.save(cvm, path)
     report = M.validation_report(spark, cvm, path)

@@ -153,3 +153,33 @@ def test_folds_by_parent_keep_relatives_together(spark):
     # drawn by the row's own id, relatives do come apart
     assert M.add_folds(train).groupBy("parent_id").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() > 0
     folds.unpersist()
+
+
+def test_dictionary_encoding_gives_the_index_models(spark, monkeypatch, tmp_path):
+    """Same metrics and predictions as index + one-hot, unseen and NULL names among them, and no column names its slots on the driver."""
+    train = _tenants(spark, 300).withColumn("name", F.when(F.col("id") % 50 != 0, F.col("name")))
+    test = _tenants(spark, 60, 3).withColumn("name", F.when(F.col("id") % 7 == 0, "nobody").otherwise(F.col("name"))).withColumn(
+        "house_id", F.when(F.col("id") % 5 == 0, 999).otherwise(F.col("house_id")))
+    index = M.fit(train, M.cross_validator(num_folds=2))
+    want = {r.id: r.prediction for r in M.score(index, test).collect()}
+    fitted = []
+    plain = M.spread
+    monkeypatch.setattr(M, "spread", lambda df, n: fitted.append(plain(df, n)) or fitted[-1])
+    cvm = M.fit(train, M.cross_validator(num_folds=2, encoding="dictionary"))
+    assert np.abs(np.array(cvm.avgMetrics) - index.avgMetrics).max() < 1e-9
+    assert not fitted[0].schema["features"].metadata and len(cvm.bestModel.stages) == 1
+    held = M.load(M.save(cvm, str(tmp_path / "model")))
+    got = {r.id: r.prediction for r in M.score(held, test).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-9
+    for c in ("house_id", "age"):
+        with pytest.raises(Exception, match="null or negative"):
+            M.score(cvm, test.withColumn(c, F.when(F.col("id") != 1, F.col(c)))).collect()
+
+
+def test_train_flow_keeps_no_names_on_the_driver(spark, tmp_path):
+    from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+    from rentrisk.plans.train import train_flow
+    table = _tenants(spark, 200).withColumnRenamed("label", "default_amount")
+    cvm, path, _ = train_flow(spark, table, str(tmp_path / "m"), num_folds=2)
+    assert not [s for s in cvm.bestModel.stages if isinstance(s, (StringIndexerModel, VectorAssembler))]
+    assert M.load(path).dictionary.where("column = 'name'").count() == table.select("name").distinct().count()
