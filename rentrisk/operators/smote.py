@@ -29,6 +29,8 @@ from rentrisk.operators.knn import KnnResult, attach_points, knn, neighbour_arra
 
 # Copies of one row made by one task at a time; results do not depend on it.
 COPY_CHUNK = 4096
+# From so many copies on, rows are dealt over the tasks before they are copied.
+DEAL_FROM = 4
 
 
 @dataclass
@@ -43,15 +45,16 @@ class SmoteSpec:
 
 
 def fan_out(rows: DataFrame, id_col: str, copies: int, chunk: int = COPY_CHUNK) -> DataFrame:
-    """Rows times ``copy`` = 1..copies (L3). Many copies are dealt out in chunks first, so a few rows with a
-    large multiplier fill many tasks and no row makes an array longer than ``chunk``."""
+    """Rows times ``copy`` = 1..copies (L3). Rows are dealt out first, as the planner merges what is small before it grows into one
+    task; many copies are dealt out in chunks, so a few rows with a large multiplier fill many tasks and no row makes an array
+    longer than ``chunk``."""
+    # a number is named, else the planner would merge these few rows into one task before they grow
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if copies > chunk:
         starts = F.explode(F.sequence(F.lit(1), F.lit(copies), F.lit(chunk))).alias("_from")
-        # a number is named, else the planner would merge these few rows into one task before they grow
-        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.select("*", starts).repartition(n, id_col, "_from")
     else:
-        rows = rows.withColumn("_from", F.lit(1))
+        rows = (rows.repartition(n) if copies >= DEAL_FROM else rows).withColumn("_from", F.lit(1))
     last = F.least(F.col("_from") + (chunk - 1), F.lit(copies))
     return rows.select("*", F.explode(F.sequence(F.col("_from"), last)).alias("copy")).drop("_from")
 

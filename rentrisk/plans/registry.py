@@ -367,10 +367,16 @@ def q_smote_exact(spark, sf_dir):
     return synthetic_rows(smote_sample(spark, sf_dir), spec).withColumn("copy", F.col("copy").cast("int"))
 
 
+def _train_table(spark, sf_dir, **kw) -> DataFrame:
+    """Sampling reads the payments for the class counts, the minority and the rows themselves: they are cleaned once."""
+    from rentrisk.plans.sample import sample_train
+    pay = materialize(payments(spark, sf_dir).select(*S.SAMPLE_COLUMNS), "payments")
+    return sample_train(pay, train_cut(pay.count()), k=K, seed=SEED, **kw)
+
+
 @register("smote_train_table", smote_train_sql(K, SEED))
 def q_smote_train_table(spark, sf_dir):
-    from rentrisk.plans.sample import sample_train
-    return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
+    return _train_table(spark, sf_dir)
 
 
 LSH_TABLES = 2
@@ -534,11 +540,6 @@ def q_lasso_one_feature(spark, sf_dir):
     return df.select("reg_param", F.round("coefficient", 6).alias("coefficient"), F.round("intercept", 6).alias("intercept"))
 
 
-def _train_table(spark, sf_dir):
-    from rentrisk.plans.sample import sample_train
-    return sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED)
-
-
 def _fitted(spark, sf_dir):
     """Fit, save and report; every query that needs a model fits its own."""
     from rentrisk.plans.train import train_flow
@@ -735,8 +736,7 @@ def q_smote_vote(spark, sf_dir):
     f"       _src as parent_id, is_syn, cast({O.hash32(M.FOLD_SEED, '_src')} % {M.NUM_FOLDS} as int) as fold\nfrom t"))
 def q_fold_by_parent(spark, sf_dir):
     """Folds of the train table by parent, so that no synthetic row is validated by a model that saw its parent."""
-    from rentrisk.plans.sample import sample_train
-    train = sample_train(payments(spark, sf_dir), _cut(spark, sf_dir), k=K, seed=SEED, with_parent=True)
+    train = _train_table(spark, sf_dir, with_parent=True)
     return M.add_folds(train, key="parent_id").select("id", "parent_id", "is_syn", "fold")
 
 

@@ -183,3 +183,24 @@ def test_train_flow_keeps_no_names_on_the_driver(spark, tmp_path):
     cvm, path, _ = train_flow(spark, table, str(tmp_path / "m"), num_folds=2)
     assert not [s for s in cvm.bestModel.stages if isinstance(s, (StringIndexerModel, VectorAssembler))]
     assert M.load(path).dictionary.where("column = 'name'").count() == table.select("name").distinct().count()
+
+
+def test_payments_are_cleaned_once_for_the_train_table(spark, monkeypatch):
+    from rentrisk.plans import registry as R
+    from rentrisk.plans import sample
+    from tests.conftest import SF001
+    given, plain = [], sample.sample_train
+    monkeypatch.setattr(sample, "sample_train", lambda pay, *a, **kw: given.append(pay) or plain(pay, *a, **kw))
+    for name in ("smote_train_table", "fold_by_parent"):
+        R.QUERIES[name](spark, SF001)
+    assert len(given) == 2 and not any("Window" in p._jdf.queryExecution().optimizedPlan().toString() for p in given)
+
+
+def test_rows_are_dealt_out_before_they_are_copied(spark):
+    """A small shuffle is merged into one task; the copies are not all made there, whatever the ids."""
+    from rentrisk.operators.smote import fan_out
+    rows = spark.range(400).groupBy("id").count().withColumn("id", F.lit(None).cast("long"))
+    out = fan_out(rows, "id", 50)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 10_000
+    assert out.groupBy("copy").count().where("count = 400").count() == 50
