@@ -6,8 +6,8 @@ holds the fitted coefficients, the parameter grid and the average metrics.
 
 With ``encoding="dictionary"`` the category values are numbered by ``operators.dictionary`` and the rows' sparse vectors are written once,
 for all folds and candidates. StringIndexer, OneHotEncoder and VectorAssembler would hold every name on the driver, once per stage and fit, and name
-every slot in the metadata of their columns. A name that a training fold lacks is a constant feature there, whose coefficient is 0, as that of
-the slot for unseen names is in a pipeline fitted on the fold.
+every slot in the metadata of their columns. A value that a training fold lacks is a constant feature there, whose coefficient is 0. A pipeline
+fitted on the fold would give such a name the slot of unseen names, which is that of NULL names too: ``FoldValidator`` does so.
 """
 
 from __future__ import annotations
@@ -42,9 +42,10 @@ def cross_validator(reg_params=REG_PARAMS, num_folds: int = NUM_FOLDS, paralleli
     ``operators.dictionary`` (the same models, without the values on the driver)."""
     est = lasso(max_iter=max_iter)
     grid = ParamGridBuilder().addGrid(est.regParam, list(reg_params)).build()
-    return CrossValidator(estimator=pipeline(est, encoding, width), estimatorParamMaps=grid,
-                          evaluator=RegressionEvaluator(metricName="r2"), numFolds=num_folds,
-                          parallelism=parallelism, seed=seed, foldCol="fold")
+    kind = FoldValidator if encoding == "dictionary" else CrossValidator
+    return kind(estimator=pipeline(est, encoding, width), estimatorParamMaps=grid,
+                evaluator=RegressionEvaluator(metricName="r2"), numFolds=num_folds,
+                parallelism=parallelism, seed=seed, foldCol="fold")
 
 
 def takes_vectors(estimator) -> bool:
@@ -52,10 +53,24 @@ def takes_vectors(estimator) -> bool:
     return len(estimator.getStages()) == 1
 
 
-def encoded(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+class FoldValidator(CrossValidator):
+    """Validates rows by ``held`` instead of ``features`` where there is one."""
+
+    def _kFold(self, dataset: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        held = F.coalesce("held", "features")
+        return [(train, rows.withColumn("features", held)) for train, rows in super()._kFold(dataset)]
+
+
+def names_of_one_fold(rows: DataFrame) -> DataFrame:
+    """As dictionary rows. Where their fold is held out, no other row has the name."""
+    folds = rows.groupBy(F.col("name").cast("string").alias("value")).agg(F.min("fold").alias("a"), F.max("fold").alias("b"))
+    return folds.where("value is not null and a = b").select(F.lit("name").alias("column"), "value", F.lit(0).alias("slot"))
+
+
+def encoded(rows: DataFrame, dictionary: DataFrame, lone: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``features``: the dictionary's slots, one for names that it does not hold (NULL among them), age bucket and rent.
 
-    Other values that it does not hold have no entry. As with the index stages, a NULL number and a negative house or zip are errors.
+    Other values that it does not hold have no entry. With ``lone``, names of one fold, ``held`` is the vector with their name as unseen, NULL for other rows. As with the index stages, a NULL number and a negative house or zip are errors.
     """
     def number(c: str):
         bad = F.col(c).isNull() | (F.col(c) < 0 if c in CATEGORICAL else F.lit(False))
@@ -67,18 +82,25 @@ def encoded(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     # written per column: the next one reads the rows several times
     for c in CATEGORICAL:
         rows = materialize(DICT.encode(rows, dictionary, [c]), "model-coded")
+    if lone is not None:
+        rows = materialize(DICT.encode(rows, lone, ["name"], "_lone"), "model-coded")
     p = dictionary.count()
-    slot = {c: F.col(f"{c}_slot") for c in CATEGORICAL}
     entry = lambda i, v: F.struct(i.cast("int").alias("i"), v.cast("double").alias("v"))
-    found = F.array(*[entry(s, F.lit(1.0)) for s in slot.values()],
-                    entry(F.when(slot["name"].isNull(), F.lit(p)), F.lit(1.0)),
-                    entry(F.lit(p + 1), F.col("age_buckets")), entry(F.lit(p + 2), F.col("rent_amount")))
-    # slots ascend with the columns
-    found = F.filter(found, lambda e: e["i"].isNotNull() & (e["v"] != 0))
-    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(p + 3).alias("size"), found["i"].alias("indices"), found["v"].alias("values"))
-    out = materialize(rows.select(*columns, vector.alias("features")), "model-vectors")
+
+    def vector(name):
+        # slots ascend with the columns
+        found = F.array(entry(name, F.lit(1.0)), *[entry(F.col(f"{c}_slot"), F.lit(1.0)) for c in CATEGORICAL[1:]],
+                        entry(F.when(name.isNull(), F.lit(p)), F.lit(1.0)),
+                        entry(F.lit(p + 1), F.col("age_buckets")), entry(F.lit(p + 2), F.col("rent_amount")))
+        found = F.filter(found, lambda e: e["i"].isNotNull() & (e["v"] != 0))
+        return F.struct(F.lit(0).cast("byte").alias("type"), F.lit(p + 3).alias("size"), found["i"].alias("indices"), found["v"].alias("values"))
+
+    vectors = {"features": vector(F.col("name_slot"))}
+    if lone is not None:
+        vectors["held"] = F.when(F.col("name_lone").isNotNull(), vector(F.lit(None).cast("int")))
+    out = materialize(rows.select(*columns, *[v.alias(c) for c, v in vectors.items()]), "model-vectors")
     # a vector is stored as this struct: read back as one
-    schema = T.StructType([f if f.name != "features" else T.StructField("features", VectorUDT()) for f in out.schema])
+    schema = T.StructType([f if f.name not in vectors else T.StructField(f.name, VectorUDT()) for f in out.schema])
     return out.sparkSession.read.schema(schema).parquet(*out.inputFiles())
 
 
@@ -89,7 +111,8 @@ def fit(train: DataFrame, cv: CrossValidator | None = None, seed: int = FOLD_SEE
     cores = train.sparkSession.sparkContext.defaultParallelism
     if takes_vectors(cv.getEstimator()):
         dictionary = materialize(DICT.build(train, CATEGORICAL), "model-dictionary")
-        cvm = cv.fit(spread(encoded(data, dictionary).select("features", "label", "fold"), cores))
+        rows = encoded(data, dictionary, materialize(names_of_one_fold(data), "model-lone"))
+        cvm = cv.fit(spread(rows.select("features", "held", "label", "fold"), cores))
         cvm.dictionary = dictionary
         return cvm
     data = spread(data, cores).persist()
