@@ -248,7 +248,7 @@ def often(rows: DataFrame, length: int) -> list[int]:
     return [r["name"] for r in counts.filter(F.col("count") > total / SHARE).collect()]
 
 
-def dealt(rows: DataFrame, hot: list[int]) -> DataFrame:
+def first_only(rows: DataFrame, hot: list[int]) -> DataFrame:
     """``rows`` with those of one name in one task, of a hot name with those of the same ``whole`` only; ``rank`` among those
     of the same names, ties of one place alike.
 
@@ -273,7 +273,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     hot = often(rows.select("d", "fp", "text"), length)
-    ranked = dealt(rows.select("d", "fp", "text").mapInArrow(sample_rows(length), ROW), hot)
+    ranked = first_only(rows.select("d", "fp", "text").mapInArrow(sample_rows(length), ROW), hot)
     first = (F.col("kind") == CANDIDATE) & (F.col("rank") == 1)
     # names with different bytes around them; those of hot names are looked at without asking
     own = Window.partitionBy("deal", "name")
@@ -287,7 +287,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     todo = (hits.filter(F.col("kind") == OPEN).groupBy("d", "fp")
             .agg(F.collect_set(F.struct("name", "s", "e")).alias("runs")))
     windows = rows.join(todo, ["d", "fp"]).select("d", "fp", "key", "text", "runs").mapInArrow(window_rows(length), ROW)
-    later = dealt(windows, hot).filter((F.col("kind") == GONE) | (F.col("rank") > 1))
+    if not hot:
+        # few documents show no frequent name in the sample: the runs are counted
+        runs = hits.filter(F.col("kind") == OPEN).groupBy("name").count()
+        total = runs.agg(F.sum("count")).first()[0] or 0
+        hot = [r["name"] for r in runs.filter(F.col("count") > F.greatest(F.lit(8), F.lit(total / SHARE))).collect()]
+    later = first_only(windows, hot).filter((F.col("kind") == GONE) | (F.col("rank") > 1))
     gone = (hits.filter(F.col("kind") == GONE).select("d", "fp", "s", "e").unionByName(later.select("d", "fp", "s", "e"))
             .groupBy("d", "fp").agg(F.collect_list(F.struct("s", "e")).alias("ranges")))
     out = rows.join(gone, ["d", "fp"], "left").select("key", "text", "ranges")
