@@ -14,14 +14,15 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, CrossValidatorModelWriter, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentrisk.functions.hashing import hash32
 from rentrisk.operators import dictionary as DICT
-from rentrisk.operators.features import CATEGORICAL, HASHED_WIDTH, age_buckets, lasso, pipeline
+from rentrisk.operators import wide
+from rentrisk.operators.features import CATEGORICAL, HASHED_WIDTH, checked, lasso, pipeline
 from rentrisk.session import materialize
 
 # Fixed values of the reference's validator.
@@ -53,6 +54,11 @@ def takes_vectors(estimator) -> bool:
     return len(estimator.getStages()) == 1
 
 
+def is_table(cvm: CrossValidatorModel) -> bool:
+    """Whether the model is a table of coefficients, which scores the rows as they are."""
+    return isinstance(cvm.bestModel.stages[-1], wide.LassoTable)
+
+
 class FoldValidator(CrossValidator):
     """Validates rows by ``held`` instead of ``features`` where there is one."""
 
@@ -67,21 +73,22 @@ def names_of_one_fold(rows: DataFrame) -> DataFrame:
     return folds.where("value is not null and a = b").select(F.lit("name").alias("column"), "value", F.lit(0).alias("slot"))
 
 
+def coded(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``rows`` with ``age_buckets`` and the dictionary's slots."""
+    rows = materialize(checked(rows), "model-rows")
+    # written per column: the next one reads the rows several times
+    for c in CATEGORICAL:
+        rows = materialize(DICT.encode(rows, dictionary, [c]), "model-coded")
+    return rows
+
+
 def encoded(rows: DataFrame, dictionary: DataFrame, lone: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``features``: the dictionary's slots, one for names that it does not hold (NULL among them), age bucket and rent.
 
     Other values that it does not hold have no entry. With ``lone``, names of one fold, ``held`` is the vector with their name as unseen, NULL for other rows. As with the index stages, a NULL number and a negative house or zip are errors.
     """
-    def number(c: str):
-        bad = F.col(c).isNull() | (F.col(c) < 0 if c in CATEGORICAL else F.lit(False))
-        return F.when(~bad, F.col(c)).otherwise(F.raise_error(F.lit(f"{c} is null or negative")))
-
     columns = rows.columns
-    rows = rows.withColumns({c: number(c) for c in ("house_id", "house_zip", "age", "rent_amount")})
-    rows = materialize(age_buckets().transform(rows), "model-rows")
-    # written per column: the next one reads the rows several times
-    for c in CATEGORICAL:
-        rows = materialize(DICT.encode(rows, dictionary, [c]), "model-coded")
+    rows = coded(rows, dictionary)
     if lone is not None:
         rows = materialize(DICT.encode(rows, lone, ["name"], "_lone"), "model-coded")
     p = dictionary.count()
@@ -111,6 +118,10 @@ def fit(train: DataFrame, cv: CrossValidator | None = None, seed: int = FOLD_SEE
     cores = train.sparkSession.sparkContext.defaultParallelism
     if takes_vectors(cv.getEstimator()):
         dictionary = materialize(DICT.build(train, CATEGORICAL), "model-dictionary")
+        if wide.takes(cv, dictionary.count() + 3):
+            cvm = wide.fit(cv, coded(data, dictionary), dictionary)
+            cvm.dictionary = dictionary
+            return cvm
         rows = encoded(data, dictionary, materialize(names_of_one_fold(data), "model-lone"))
         cvm = cv.fit(spread(rows.select("features", "held", "label", "fold"), cores))
         cvm.dictionary = dictionary
@@ -162,7 +173,9 @@ def validation_report(spark: SparkSession, cvm: CrossValidatorModel, model_path:
 
 
 def save(cvm: CrossValidatorModel, path: str) -> str:
-    cvm.write().overwrite().save(path)
+    # the writer that a model of tables needs is not chosen by itself, as the estimator is Spark's own
+    writer = CrossValidatorModelWriter(cvm) if is_table(cvm) else cvm.write()
+    writer.overwrite().save(path)
     if takes_vectors(cvm.getEstimator()):
         cvm.dictionary.write.parquet(f"{path}/dictionary")
     return path
@@ -177,4 +190,4 @@ def load(path: str) -> CrossValidatorModel:
 
 def score(cvm: CrossValidatorModel, rows: DataFrame) -> DataFrame:
     """M6: predictions for rows with the pipeline's input columns."""
-    return cvm.transform(encoded(rows, cvm.dictionary) if takes_vectors(cvm.getEstimator()) else rows)
+    return cvm.transform(encoded(rows, cvm.dictionary) if takes_vectors(cvm.getEstimator()) and not is_table(cvm) else rows)

@@ -205,3 +205,70 @@ def test_rows_are_dealt_out_before_they_are_copied(spark):
     sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 20_000 and max(sizes) < 10_000
     assert out.groupBy("copy").count().where("count = 400").count() == 50
+
+
+def _with_l_bfgs(**kw):
+    cv = M.cross_validator(num_folds=2, encoding="dictionary", **kw)
+    cv.getEstimator().getStages()[-1].setSolver("l-bfgs")
+    return cv
+
+
+def _many_names(spark, n):
+    """Names of one row, names of many, NULL names; the label depends on all columns."""
+    rows = [(i, None if i % 37 == 0 else f"own{i}" if i % 6 == 0 else f"n{i * i % 101}", 20 + i % 45, i * 7 % 11, 100 + i % 4, 500 + 10 * (i % 13),
+             float(i % 9 * 20 + 60 * (i * i % 101 % 5) + i * 7919 % 61)) for i in range(n)]
+    return spark.createDataFrame(rows, "id long, name string, age int, house_id int, house_zip int, rent_amount int, label double")
+
+
+@pytest.mark.parametrize("share", [1000, 20])
+def test_wide_lasso_takes_the_estimators_steps(spark, monkeypatch, tmp_path, share):
+    """Metrics and predictions of Spark's OWL-QN, with values that are broadcast and values that are joined; no vector over all slots."""
+    from rentrisk.operators import wide
+    train = _many_names(spark, 900)
+    monkeypatch.setattr(wide, "takes", lambda *a: False)
+    want = M.fit(train, _with_l_bfgs(reg_params=[500.0, 20.0, 0.1], max_iter=4))
+    monkeypatch.undo()
+    monkeypatch.setattr(wide.fit, "__defaults__", (share,))
+    cvm = M.fit(train, _with_l_bfgs(reg_params=[500.0, 20.0, 0.1], max_iter=4))
+    assert np.abs(np.array(cvm.avgMetrics) - want.avgMetrics).max() < 1e-9 and want.avgMetrics[0] < 0.1 < want.avgMetrics[2]
+    assert np.abs(np.array(cvm.stdMetrics) - want.stdMetrics).max() < 1e-9
+    assert M.best_index(cvm) == M.best_index(want)
+    model = cvm.bestModel.stages[-1]
+    assert isinstance(model, wide.LassoTable)
+    assert str(model).endswith(str(want.bestModel.stages[-1]).partition("numFeatures")[2])
+    test = train.withColumn("name", F.when(F.col("id") % 7 == 0, "nobody").otherwise(F.col("name"))).withColumn(
+        "house_id", F.when(F.col("id") % 5 == 0, 999).otherwise(F.col("house_id")))
+    held = M.load(M.save(cvm, str(tmp_path / "model")))
+    assert held.avgMetrics == cvm.avgMetrics and [*held.getEstimatorParamMaps()[2].values()] == [0.1]
+    old, new = ({r.id: r.prediction for r in M.score(m, test).collect()} for m in (want, held))
+    assert old.keys() == new.keys() and max(abs(old[i] - new[i]) for i in old) < 1e-7
+    report = M.validation_report(spark, held, "p").first()
+    assert report.best_params == M.validation_report(spark, want, "p").first().best_params and "numFeatures" in report.result
+    with pytest.raises(Exception, match="null or negative"):
+        M.score(held, test.withColumn("age", F.when(F.col("id") != 1, F.col("age")))).collect()
+
+
+def test_wide_lasso_edges(spark):
+    from rentrisk.operators import wide
+    rows = _many_names(spark, 60)
+    constant = M.fit(rows.withColumn("label", F.lit(5.0)), _with_l_bfgs())
+    assert {r.prediction for r in M.score(constant, rows).collect()} == {5.0}
+    with pytest.raises(Exception, match="Labels MUST NOT be Null"):
+        M.fit(rows.withColumn("label", F.when(F.col("id") != 3, F.col("label"))), _with_l_bfgs())
+    with pytest.raises(ValueError, match="at fold"):
+        M.fit(rows.limit(1), _with_l_bfgs())
+    # as the estimator: the normal equations up to 4,096 slots; settings that are not kept to are left to it
+    cv = M.cross_validator(encoding="dictionary")
+    assert wide.takes(cv, 4097) and not wide.takes(cv, 4096)
+    assert not wide.takes(M.cross_validator(encoding="dictionary", reg_params=[0.0]), 4097)
+
+
+def test_a_failed_step_forgets_the_memory_once():
+    from rentrisk.operators.wide import Fit, Moments
+    f = Fit(1.0, 0, Moments(3, 0.0, 2.0), rounds=[1, 0])
+    with pytest.raises(ArithmeticError):
+        f.direction(lambda u, v: -1.0)
+    f.fail()
+    assert not f.done and f.rounds == [] and f.direction(None) == {("a", 0): -1.0}
+    f.fail()
+    assert f.done
